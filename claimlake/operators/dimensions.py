@@ -161,7 +161,7 @@ def assign_plans(
     """
     keyed = members.filter(col(member_key).isNotNull()).drop(plan_key)
     numbered = plan_numbers(plans, plan_key)
-    size = measure(numbered)
+    (size,) = measure(numbered)
     if size.rows == 0:
         raise ValueError(f"no {plan_key} to assign members to")
     if size.fits(limits):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.config import BRONZE, LookupSpec, RunContext
 from claimlake.operators.frames import require_rows
 from claimlake.plans.audit import RunLog, ensure_audit_tables
+from claimlake.plans.together import together
 from claimlake.sources.files import read_lookup, read_text_csv
 from claimlake.sources.store import TableStore
 
@@ -59,8 +62,8 @@ def run_bronze(store: TableStore, run: RunContext | None = None) -> str:
     with RunLog(store, BRONZE, run) as log:
         land_claims(store, log)
         ingest_claims(store, log)
-        for spec in store.config.lookups:
-            ingest_lookup(store, log, spec)
+        lookups = [partial(ingest_lookup, store, log, spec) for spec in store.config.lookups]
+        together(store.spark, lookups, store.config.steps_at_once)
     return run.run_id
 
 

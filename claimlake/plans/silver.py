@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from claimlake.operators.frames import choose_batch, in_batch, require_rows
 from claimlake.operators.standardize import TRIM_ONLY, split_rejects, standardize
 from claimlake.plans import bronze
 from claimlake.plans.audit import RunLog, ensure_audit_tables
+from claimlake.plans.together import together
 from claimlake.sources.store import RowCounter, TableStore
 
 CLAIMS_TABLE = "claims_clean"
@@ -71,8 +74,8 @@ def run_silver(store: TableStore, run: RunContext | None = None) -> str:
         raw = store.read(BRONZE, bronze.CLAIMS_TABLE)
         bronze_run_id = choose_batch(raw, "run_id", "ingestion_timestamp", cfg.process_run_id)
         clean_claims(store, log, bronze_run_id)
-        for spec in cfg.lookups:
-            clean_lookup(store, log, spec, bronze_run_id)
+        lookups = [partial(clean_lookup, store, log, spec, bronze_run_id) for spec in cfg.lookups]
+        together(store.spark, lookups, cfg.steps_at_once)
     return run.run_id
 
 

@@ -17,31 +17,16 @@ from claimlake.sources.files import read_lookup, read_text_csv
 from claimlake.sources.store import TableStore
 from tests.oracle import connect, run_duckdb, run_spark
 from workload.oracles import ORACLES
-from workload.source import lookups, raw_claims
+from workload.files import write_csv, write_input_files
+from workload.source import raw_claims
 
 SF_DIR = "/root/testdata/sf0.001"
-FILES = {
-    "members": "members_raw.csv", "providers": "providers_raw.csv", "pharmacies": "pharmacies_raw.csv",
-    "health_plans": "health_plans_raw.csv", "ref_icd10_diagnosis": "ref_icd10_diagnosis.csv",
-    "ref_hcpcs": "ref_hcpcs.csv", "ref_revenue_codes": "ref_revenue_codes.csv",
-    "ref_place_of_service": "ref_place_of_service.csv",
-}
-
-
-def write_csv(df, path):
-    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
-               "ignoreTrailingWhiteSpace": False}
-    df.coalesce(1).write.options(**options).csv(str(path))
 
 
 @pytest.fixture(scope="module")
 def files(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("files")
-    write_csv(raw_claims(spark, SF_DIR), root / "claims.csv")
-    sources = lookups(spark, SF_DIR)
-    sources["ref_hcpcs"] = sources["ref_hcpcs"].toDF(" HCPC", "LONG DESCRIPTION", "Short Description")
-    for name, file in FILES.items():
-        write_csv(sources[name], root / file)
+    write_input_files(spark, SF_DIR, str(root))
     return root
 
 
@@ -175,7 +160,7 @@ def failed_rows(store, layer):
 
 
 def test_empty_source_is_logged_and_raised(spark, files, tmp_path):
-    write_csv(raw_claims(spark, SF_DIR).limit(0), tmp_path / "empty.csv")
+    write_csv(raw_claims(spark, SF_DIR).limit(0), str(tmp_path / "empty.csv"))
     cfg = replace(config(files), claims_path=str(tmp_path / "empty.csv"))
     store = TableStore(spark, cfg)
     store.create_namespaces()
@@ -196,7 +181,7 @@ def test_missing_lookup_file_is_logged_and_raised(spark, files):
 
 def test_no_valid_dates_stops_gold(spark, files, tmp_path):
     undated = raw_claims(spark, SF_DIR).withColumn("admission_date", F.lit("unknown"))
-    write_csv(undated, tmp_path / "undated.csv")
+    write_csv(undated, str(tmp_path / "undated.csv"))
     cfg = replace(config(files), claims_path=str(tmp_path / "undated.csv"))
     with pytest.raises(ValueError, match="admission_date"):
         run_pipeline(spark, cfg)
@@ -223,7 +208,7 @@ def test_duplicates_can_stop_the_run(spark, files, finished):
 
 def test_columns_the_claims_lack_are_skipped(spark, files, tmp_path):
     narrow = raw_claims(spark, SF_DIR).drop("pharmacy_id", "claim_type", "units")
-    write_csv(narrow, tmp_path / "narrow.csv")
+    write_csv(narrow, str(tmp_path / "narrow.csv"))
     cfg = replace(config(files), claims_path=str(tmp_path / "narrow.csv"))
     store = TableStore(spark, cfg)
     store.create_namespaces()

@@ -11,7 +11,7 @@ from claimlake.functions import columns as C
 from claimlake.operators import dimensions as D
 from claimlake.operators import facts, frames, kpi
 from claimlake.operators.standardize import TRIM_ONLY, reject_condition, split_rejects, standardize
-from workload.source import AS_OF, lookups, raw_claims, table
+from workload.source import AS_OF, lineitem, lookups, raw_claims, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +76,7 @@ def impute_flags(spark, sf_dir):
 
 
 def stable_key(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem(spark, sf_dir).select(
         C.stable_key("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date")).alias("line_key"),
         C.stable_key("l_partkey").alias("part_key"),
     )
@@ -155,7 +155,7 @@ def length_of_stay(spark, sf_dir):
 
 
 def allowed_amount(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem(spark, sf_dir).select(
         "l_orderkey", "l_linenumber",
         C.share_of_amount(
             F.col("l_extendedprice").cast("decimal(18,2)"), 1 - F.col("l_discount").cast("decimal(4,2)")
