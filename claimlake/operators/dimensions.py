@@ -57,12 +57,11 @@ PROCEDURE_CODES = DimSpec(
 )
 REVENUE_CODES = DimSpec(
     "dim_revenue_codes", "ref_revenue_codes", "revenue_code", "revenue_code_key",
-    ("revenue_code", "DESCRIPTION"), rename={"CODE": "revenue_code"}, upper_id=True,
+    ("revenue_code", "DESCRIPTION"), rename={"CODE": "revenue_code"},
 )
 PLACES_OF_SERVICE = DimSpec(
     "dim_place_of_service", "ref_place_of_service", "place_of_service_code", "place_of_service_key",
     ("Place_of_Service_Code", "Place_of_Service_Name", "Place_of_Service_Description"),
-    upper_id=True,
 )
 PLANS = DimSpec(
     "dim_plans", "health_plans", "plan_id", "plan_key",
@@ -77,7 +76,8 @@ DIMENSIONS = (
 def build_dim(source: DataFrame, spec: DimSpec) -> DataFrame:
     """Rename, pick columns, keep one row per id, add the surrogate key.
 
-    Claims carry their codes in upper case, so code dimensions do too; else they would not meet.
+    Claims carry their codes in upper case, so diagnosis and procedure codes are raised too; else
+    they would not meet. Revenue and place codes keep their spelling, on which published keys rest.
     """
     dim = select_existing(rename_existing(source, spec.rename), spec.columns)
     id_col = find_column(dim, spec.id)

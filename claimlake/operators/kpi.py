@@ -54,7 +54,7 @@ def code_distribution(
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("claim_lines"))
     total = counts.agg(F.sum("claim_lines")).scalar()
     share = F.round(F.col("claim_lines").cast("double") / total, 6)
-    named = star_join(counts, [(key, dim.select(key, col(code_col).alias("code")))], limits)
+    named = star_join(counts, [(key, dim.select(key, col(code_col).alias("code")))], limits, skewed=False)
     per_code = named.groupBy("code").agg(F.sum("claim_lines").alias("claim_lines"))
     result = per_code.withColumn("share", share)
     if top is None:
@@ -69,7 +69,7 @@ def provider_performance(
     figures = fact.groupBy("provider_key").agg(*_figures())
     ratio = F.col("total_allowed").cast("double") / F.nullif("total_charge", F.lit(0)).cast("double")
     names = providers.select("provider_key", "provider_id", "provider_specialty")
-    return star_join(figures, [("provider_key", names)], limits).select(
+    return star_join(figures, [("provider_key", names)], limits, skewed=False).select(
         "provider_key", "provider_id", "provider_specialty", "encounters", "claim_lines", "total_charge",
         "total_allowed", F.round(ratio, 6).alias("allowed_ratio"),
     )

@@ -258,6 +258,7 @@ def test_dimension_renames(spark):
     dim = D.build_dim(source, D.REVENUE_CODES)
     assert dim.columns == ["revenue_code", "DESCRIPTION", "revenue_code_key"]
     assert dim.first()["revenue_code_key"] == KEYS["0001"]
+    assert D.build_dim(source.withColumn("CODE", F.lit("097x")), D.REVENUE_CODES).first()["revenue_code"] == "097x"
     with pytest.raises(ValueError, match="no column"):
         D.build_dim(source.drop("CODE"), D.REVENUE_CODES)
 

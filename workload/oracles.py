@@ -134,7 +134,7 @@ _LOOKUPS = {
         p_name as short_description
       from part""",
     "revenue": """
-      select upper(o_orderpriority) as revenue_code,
+      select o_orderpriority as revenue_code,
         'Priority ' || substr(o_orderpriority, 3) as DESCRIPTION
       from orders""",
     "places": """
