@@ -46,29 +46,32 @@ TRIM_ONLY = ColumnRules()
 
 
 def standardize(df: DataFrame, rules: ColumnRules = CLAIM_RULES) -> DataFrame:
-    """Trim, upper-case, safe-cast and date-parse in a single projection.
+    """Trim, upper-case, safe-cast and date-parse.
 
     Trimming takes spaces only: tabs and no-break spaces stay. What does not cast or parse
-    becomes null.
+    becomes null. Trimming is a projection of its own, so that a value that is looked at several
+    times to find its date layout is trimmed once.
     """
     upper = {c.lower() for c in rules.upper}
     casts = {c.lower(): t for c, t in rules.casts.items()}
     dates = {c.lower() for c in rules.dates}
+    fields = df.schema.fields
+    texts = {f.name for f in fields if isinstance(f.dataType, T.StringType)}
 
-    def cleaned(f: T.StructField) -> Column:
-        name, value = f.name.lower(), col(f.name)
-        is_text = isinstance(f.dataType, T.StringType)
-        if is_text:
-            value = F.trim(value)
-        if name in upper:
+    def typed(name: str) -> Column:
+        key, value = name.lower(), col(name)
+        if key in upper:
             value = F.upper(value)
-        if name in casts:
-            value = value.try_cast(casts[name])
-        elif name in dates:
-            value = parse_date(value) if is_text else value.try_cast("date")
-        return value.alias(f.name)
+        if key in casts:
+            value = value.try_cast(casts[key])
+        elif key in dates:
+            value = parse_date(value) if name in texts else value.try_cast("date")
+        return value.alias(name)
 
-    return df.select(*(cleaned(f) for f in df.schema.fields))
+    trimmed = df.select(*(
+        F.trim(col(f.name)).alias(f.name) if f.name in texts else col(f.name) for f in fields
+    ))
+    return trimmed.select(*(typed(f.name) for f in fields))
 
 
 def reject_condition(df: DataFrame, keys: Iterable[str] = REQUIRED_KEYS) -> Column:
@@ -77,6 +80,21 @@ def reject_condition(df: DataFrame, keys: Iterable[str] = REQUIRED_KEYS) -> Colu
     return reduce(or_, (is_blank(k) for k in present), F.lit(False))
 
 
+def may_be_rejected(df: DataFrame, keys: Iterable[str] = REQUIRED_KEYS) -> Column:
+    """A condition on raw text that all later rejects meet, and that Parquet can test on row groups.
+
+    A value of spaces only, or of nothing, sorts before ``!``, the character after the space. Row
+    groups whose keys have no nulls and start higher are not read. False everywhere without keys.
+    """
+    types = dict(df.dtypes)
+
+    def suspicious(name: str) -> Column:
+        value = col(name)
+        return value.isNull() | (value < "!") if types[find_column(df, name)] == "string" else value.isNull()
+
+    return reduce(or_, (suspicious(k) for k in existing(df, keys)), F.lit(False))
+
+
 def split_rejects(df: DataFrame, keys: Iterable[str] = REQUIRED_KEYS) -> tuple[DataFrame, DataFrame]:
     """(clean rows, rejected rows with ``reject_reason``). Every row lands in exactly one of them."""
     bad = reject_condition(df, keys)

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from claimlake.config import BRONZE, SILVER, LookupSpec, RunContext
 from claimlake.operators.frames import choose_batch, in_batch, require_rows
-from claimlake.operators.standardize import TRIM_ONLY, split_rejects, standardize
+from claimlake.operators.standardize import (
+    TRIM_ONLY,
+    may_be_rejected,
+    split_rejects,
+    standardize,
+)
 from claimlake.plans import bronze
 from claimlake.plans.audit import RunLog, ensure_audit_tables
 from claimlake.plans.together import together
@@ -31,7 +36,8 @@ def clean_claims(store: TableStore, log: RunLog, bronze_run_id: str) -> None:
     """Write the batch's clean rows, then its rejects.
 
     Rows read and written are counted by the first write. Their difference says how many rejects
-    there are; only if there are any is the batch scanned again for them.
+    there are; only if there are any is the batch scanned again for them, and then only those row
+    groups that may hold some.
     """
     cfg, run_id = store.config, log.run.run_id
     source = cfg.table(BRONZE, bronze.CLAIMS_TABLE)
@@ -44,7 +50,7 @@ def clean_claims(store: TableStore, log: RunLog, bronze_run_id: str) -> None:
         counts.written = store.write(clean, SILVER, CLAIMS_TABLE, cfg.silver_mode, ["silver_run_id"])
         counts.read = seen.rows
         counts.rejected = counts.read - counts.written
-        _, rejects = split_rejects(standardize(batch))
+        _, rejects = split_rejects(standardize(batch.filter(may_be_rejected(batch))))
         rejects = stamp(rejects, run_id, bronze_run_id)
         if not counts.rejected:
             rejects = rejects.limit(0)

@@ -85,8 +85,8 @@ def test_safe_casts(spark):
 
 
 def test_trim_takes_spaces_only(spark):
-    df = one_column(spark, ["  a  ", "a\t", "a ", "   ", None])
-    assert apply(S.standardize(df, S.TRIM_ONLY), "v") == ["a", "a\t", "a ", "", None]
+    df = one_column(spark, ["  a  ", "a\t", "a\u00a0", "   ", None])
+    assert apply(S.standardize(df, S.TRIM_ONLY), "v") == ["a", "a\t", "a\u00a0", "", None]
 
 
 def test_standardize_ignores_case_and_missing_columns(spark):
@@ -111,6 +111,16 @@ def test_rejects(spark):
     assert rejects.select("reject_reason").distinct().collect()[0][0] == "MISSING_REQUIRED_KEY"
 
 
+def test_raw_condition_misses_no_reject(spark):
+    texts = [None, "", " ", "    ", "\t", " \t ", " a", "a ", "!", "0", "\u00a0", "é"]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "claim_id string, member_id string")
+    _, rejects = S.split_rejects(S.standardize(df))
+    _, narrowed = S.split_rejects(S.standardize(df.filter(S.may_be_rejected(df))))
+    assert rejects.count() == 12 * 12 - 8 * 8
+    assert rejects.exceptAll(narrowed).isEmpty()
+    assert spark.range(3).filter(S.may_be_rejected(spark.range(3))).isEmpty()
+
+
 def test_rejects_without_any_key_column(spark):
     clean, rejects = S.split_rejects(spark.range(3))
     assert clean.count() == 3

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from claimlake.config import BRONZE, GOLD, SILVER, LookupSpec, Namespace, PipelineConfig, RunContext
 from claimlake.operators.joins import JoinLimits
+from claimlake.operators.standardize import may_be_rejected
 from claimlake.plans import audit, bronze, gold, silver
 from claimlake.plans.pipeline import run_pipeline
 from claimlake.sources.files import read_lookup, read_text_csv
@@ -155,6 +156,13 @@ def test_batch_filter_prunes_partitions(finished):
     assert f"PartitionFilters: [isnotnull(run_id" in plan and "PushedFilters: []" in plan
 
 
+def test_rejects_are_looked_for_in_suspicious_row_groups_only(finished):
+    store, ids = finished
+    raw = store.read(BRONZE, "claims_raw")
+    plan = raw.filter(may_be_rejected(raw))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(Or(IsNull(claim_id),LessThan(claim_id,!)),Or(IsNull(member_id),LessThan(member_id,!)))]" in plan
+
+
 def failed_rows(store, layer):
     return [r for r in audit.recent_runs(store, layer).collect() if r["status"] == "FAILED"]
 

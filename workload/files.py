@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimlake.config import LOOKUPS
-from workload.source import lookups, raw_claims
+from workload.source import lookup, raw_claims
 
 CLAIMS_FILE = "claims.csv"
 
@@ -18,7 +18,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_input_files(spark: SparkSession, sf_dir: str, target: str) -> None:
     write_csv(raw_claims(spark, sf_dir), f"{target}/{CLAIMS_FILE}")
-    sources = lookups(spark, sf_dir)
-    sources["ref_hcpcs"] = sources["ref_hcpcs"].toDF(" HCPC", "LONG DESCRIPTION", "Short Description")
     for spec in LOOKUPS:
-        write_csv(sources[spec.silver_table].coalesce(1), f"{target}/{spec.file}")
+        df = lookup(spark, sf_dir, spec.silver_table)
+        if spec.normalize:
+            df = df.toDF(" HCPC", "LONG DESCRIPTION", "Short Description")
+        write_csv(df.coalesce(1), f"{target}/{spec.file}")

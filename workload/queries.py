@@ -11,7 +11,7 @@ from claimlake.functions import columns as C
 from claimlake.operators import dimensions as D
 from claimlake.operators import facts, frames, kpi
 from claimlake.operators.standardize import TRIM_ONLY, reject_condition, split_rejects, standardize
-from workload.source import AS_OF, lineitem, lookups, raw_claims, table
+from workload.source import AS_OF, lineitem, lookup, raw_claims, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,12 +32,11 @@ def fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All dimensions by key column."""
-    sources = lookups(spark, sf_dir)
-    return {spec.key: D.build_dim(sources[spec.source], spec) for spec in D.DIMENSIONS}
+    return {spec.key: _dim(spec)(spark, sf_dir) for spec in D.DIMENSIONS}
 
 
 def _dim(spec: D.DimSpec) -> Query:
-    return lambda spark, sf_dir: D.build_dim(lookups(spark, sf_dir)[spec.source], spec)
+    return lambda spark, sf_dir: D.build_dim(lookup(spark, sf_dir, spec.source), spec)
 
 
 def scan_claims(spark, sf_dir):
@@ -83,14 +82,12 @@ def stable_key(spark, sf_dir):
 
 
 def dim_place_of_service_ranges(spark, sf_dir):
-    places = lookups(spark, sf_dir)[D.PLACES_OF_SERVICE.source]
+    places = lookup(spark, sf_dir, D.PLACES_OF_SERVICE.source)
     return D.build_dim(D.expand_code_ranges(places, "Place_of_Service_Code"), D.PLACES_OF_SERVICE)
 
 
 def assign_plan(spark, sf_dir):
-    sources = lookups(spark, sf_dir)
-    members = D.build_dim(sources["members"], D.MEMBERS)
-    plans = D.build_dim(sources["health_plans"], D.PLANS)
+    members, plans = _dim(D.MEMBERS)(spark, sf_dir), _dim(D.PLANS)(spark, sf_dir)
     return D.assign_plans(members, plans).select("member_id", "member_key", "plan_key")
 
 
@@ -127,7 +124,7 @@ def bi_fact_claims_enriched(spark, sf_dir):
 
 
 def pos_first_code(spark, sf_dir):
-    places = lookups(spark, sf_dir)["ref_place_of_service"]
+    places = lookup(spark, sf_dir, "ref_place_of_service")
     return D.first_codes(places, "Place_of_Service_Code").groupBy("code").agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -190,20 +187,20 @@ def kpi_utilization_trend(spark, sf_dir):
 
 
 def kpi_diagnosis_dist(spark, sf_dir):
-    dim = D.build_dim(lookups(spark, sf_dir)["ref_icd10_diagnosis"], D.DIAGNOSIS_CODES)
+    dim = _dim(D.DIAGNOSIS_CODES)(spark, sf_dir)
     return kpi.code_distribution(
         fact(spark, sf_dir, "diagnosis_code", "admission_date"), dim, "diagnosis_code_key", "DIAGNOSIS_CODE")
 
 
 def kpi_procedure_dist(spark, sf_dir):
-    dim = D.build_dim(lookups(spark, sf_dir)["ref_hcpcs"], D.PROCEDURE_CODES)
+    dim = _dim(D.PROCEDURE_CODES)(spark, sf_dir)
     return kpi.code_distribution(
         fact(spark, sf_dir, "procedure_code", "admission_date"), dim, "procedure_code_key", "procedure_code",
         top=20)
 
 
 def kpi_provider(spark, sf_dir):
-    dim = D.build_dim(lookups(spark, sf_dir)["providers"], D.PROVIDERS)
+    dim = _dim(D.PROVIDERS)(spark, sf_dir)
     return kpi.provider_performance(fact(spark, sf_dir, "provider_id", "admission_date", *_AMOUNTS), dim)
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 AS_OF = "2026-03-02"
 
@@ -59,8 +60,15 @@ _JOINS = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table. Its schema is looked up once per path, as each look-up is a job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,51 +96,61 @@ def raw_claims(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     return joined.select(*(F.expr(_RAW_CLAIM[c][0]).alias(c) for c in columns))
 
 
-def lookups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight lookup tables, by the names the dimension specs use."""
-    nation = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
-    orders = table(spark, sf_dir, "orders")
-    part = table(spark, sf_dir, "part")
-    dob = "date_add(date '1940-01-01', cast(c_custkey % 25000 as int))"
-    return {
-        "members": table(spark, sf_dir, "customer").selectExpr(
-            "cast(c_custkey as string) as member_id",
-            "c_name as member_name",
-            f"cast({dob} as string) as member_dob",
-            "case when c_mktsegment < 'F' then 'F' else 'M' end as member_gender",
-            f"cast(floor(datediff(date '{AS_OF}', {dob}) / 365) as bigint) as member_age",
-        ),
-        "providers": table(spark, sf_dir, "supplier").selectExpr(
-            "cast(s_suppkey as string) as provider_id",
-            "1000000000 + s_suppkey as npi",
-            "concat('SPECIALTY_', cast(s_nationkey as string)) as provider_specialty",
-            "substr(s_name, 10, 3) as provider_state",
-        ),
-        "pharmacies": nation.selectExpr(
-            "cast(n_nationkey as string) as pharmacy_id", "n_name as pharmacy_name",
-            "r_name as pharmacy_state",
-        ),
-        "health_plans": nation.selectExpr(
-            "cast(n_nationkey as bigint) as plan_id", "n_name as plan_name",
-            "substr(r_name, 1, 2) as plan_state", "r_name as payer_type",
-        ),
-        "ref_icd10_diagnosis": part.selectExpr(
-            "lower(p_brand) as DIAGNOSIS_CODE", "p_type as SHORT_DESCRIPTION",
-            "concat(p_type, ' ', p_name) as LONG_DESCRIPTION",
-        ),
-        "ref_hcpcs": part.selectExpr(
-            "cast(p_partkey as string) as hcpc", "concat(p_name, ' ', p_type) as long_description",
-            "p_name as short_description",
-        ),
-        "ref_revenue_codes": orders.selectExpr(
-            "o_orderpriority as CODE", "concat('Priority ', substr(o_orderpriority, 3)) as DESCRIPTION",
-        ),
-        "ref_place_of_service": orders.selectExpr(
-            "case when o_orderkey % 61 = 0 then null"
-            " when substr(o_orderpriority, 1, 1) in ('3', '4') then '3-4'"
-            " else substr(o_orderpriority, 1, 1) end as Place_of_Service_Code",
-            "substr(o_orderpriority, 3) as Place_of_Service_Name",
-            "concat('Status ', o_orderstatus) as Place_of_Service_Description",
-        ),
-    }
+def lookup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the eight lookup tables, by the name the dimension specs use."""
+    sources, expressions = _LOOKUPS[name]
+    df = table(spark, sf_dir, sources[0])
+    if len(sources) > 1:
+        df = df.join(table(spark, sf_dir, sources[1]), F.expr("n_regionkey = r_regionkey"))
+    return df.selectExpr(*expressions)
+
+
+_BORN = "date_add(date '1940-01-01', cast(c_custkey % 25000 as int))"
+# Lookup -> (tables it comes from, columns).
+_LOOKUPS = {
+    "members": (("customer",), (
+        "cast(c_custkey as string) as member_id",
+        "c_name as member_name",
+        f"cast({_BORN} as string) as member_dob",
+        "case when c_mktsegment < 'F' then 'F' else 'M' end as member_gender",
+        f"cast(floor(datediff(date '{AS_OF}', {_BORN}) / 365) as bigint) as member_age",
+    )),
+    "providers": (("supplier",), (
+        "cast(s_suppkey as string) as provider_id",
+        "1000000000 + s_suppkey as npi",
+        "concat('SPECIALTY_', cast(s_nationkey as string)) as provider_specialty",
+        "substr(s_name, 10, 3) as provider_state",
+    )),
+    "pharmacies": (("nation", "region"), (
+        "cast(n_nationkey as string) as pharmacy_id",
+        "n_name as pharmacy_name",
+        "r_name as pharmacy_state",
+    )),
+    "health_plans": (("nation", "region"), (
+        "cast(n_nationkey as bigint) as plan_id",
+        "n_name as plan_name",
+        "substr(r_name, 1, 2) as plan_state",
+        "r_name as payer_type",
+    )),
+    "ref_icd10_diagnosis": (("part",), (
+        "lower(p_brand) as DIAGNOSIS_CODE",
+        "p_type as SHORT_DESCRIPTION",
+        "concat(p_type, ' ', p_name) as LONG_DESCRIPTION",
+    )),
+    "ref_hcpcs": (("part",), (
+        "cast(p_partkey as string) as hcpc",
+        "concat(p_name, ' ', p_type) as long_description",
+        "p_name as short_description",
+    )),
+    "ref_revenue_codes": (("orders",), (
+        "o_orderpriority as CODE",
+        "concat('Priority ', substr(o_orderpriority, 3)) as DESCRIPTION",
+    )),
+    "ref_place_of_service": (("orders",), (
+        "case when o_orderkey % 61 = 0 then null"
+        " when substr(o_orderpriority, 1, 1) in ('3', '4') then '3-4'"
+        " else substr(o_orderpriority, 1, 1) end as Place_of_Service_Code",
+        "substr(o_orderpriority, 3) as Place_of_Service_Name",
+        "concat('Status ', o_orderstatus) as Place_of_Service_Description",
+    )),
+}
