@@ -66,7 +66,7 @@ def time_layers(spark: SparkSession, sf_dir: str, scratch: str) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or list(QUERIES)
     scratch = tempfile.mkdtemp(prefix="run-")
     spark = session(cpus, scratch)

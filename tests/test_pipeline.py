@@ -156,6 +156,20 @@ def test_batch_filter_prunes_partitions(finished):
     assert f"PartitionFilters: [isnotnull(run_id" in plan and "PushedFilters: []" in plan
 
 
+def test_a_batch_without_rejects(spark, files, tmp_path):
+    complete = raw_claims(spark, SF_DIR).filter("trim(claim_id) <> '' and member_id is not null")
+    write_csv(complete, str(tmp_path / "complete.csv"))
+    cfg = replace(config(files), claims_path=str(tmp_path / "complete.csv"))
+    store = TableStore(spark, cfg)
+    store.create_namespaces()
+    bronze.run_bronze(store)
+    for _ in range(2):
+        silver.run_silver(store)
+        assert log_rows(store, SILVER)["claims_clean"]["rows_rejected"] == 0
+        assert store.read(SILVER, "claims_rejects").isEmpty()
+        assert "reject_reason" in store.read(SILVER, "claims_rejects").columns
+
+
 def test_rejects_are_looked_for_in_suspicious_row_groups_only(finished):
     store, ids = finished
     raw = store.read(BRONZE, "claims_raw")
@@ -214,6 +228,19 @@ def test_duplicates_can_stop_the_run(spark, files, finished):
     assert [r["issue_type"] for r in audit.recent_issues(other).collect()] == ["DUPLICATE_GRAIN"]
 
 
+def test_duplicates_can_be_reduced_to_one_row(spark, files, finished):
+    store, _ = finished
+    cfg = replace(store.config, gold=Namespace("gold_layer", uuid.uuid4().hex[:8]), on_duplicate="dedupe")
+    other = TableStore(spark, cfg)
+    other.create_namespaces()
+    gold.run_gold(other)
+    fact = other.read(GOLD, "fact_claims")
+    assert fact.count() == fact.select("claim_fact_key").distinct().count()
+    assert fact.count() == store.read(GOLD, "fact_claims").select("claim_fact_key").distinct().count()
+    assert other.read(GOLD, "bi_fact_claims_enriched").count() == fact.count()
+    assert "ROW_COUNT" in {r["issue_type"] for r in audit.recent_issues(other).collect()}
+
+
 def test_columns_the_claims_lack_are_skipped(spark, files, tmp_path):
     narrow = raw_claims(spark, SF_DIR).drop("pharmacy_id", "claim_type", "units")
     write_csv(narrow, str(tmp_path / "narrow.csv"))
