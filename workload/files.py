@@ -22,4 +22,4 @@ def write_input_files(spark: SparkSession, sf_dir: str, target: str) -> None:
         df = lookup(spark, sf_dir, spec.silver_table)
         if spec.normalize:
             df = df.toDF(" HCPC", "LONG DESCRIPTION", "Short Description")
-        write_csv(df.coalesce(1), f"{target}/{spec.file}")
+        write_csv(df, f"{target}/{spec.file}")
