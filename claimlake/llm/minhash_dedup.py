@@ -7,9 +7,10 @@ are bucket keys.
 Documents of equal sets are one node (a 126-bit digest of the set), whatever their number. Only nodes are
 banded. In each bucket all nodes are first compared with one centre, not with each other. Links confirmed on the full
 sets give components; a bucket whose nodes are all in one component needs nothing more, since further links
-change nothing. What is left (nodes of different components in one bucket) is compared with a second centre,
-and then each node outside its bucket's largest component with every node of another component. So every pair that shares a bucket
-is either compared or already connected, and no group is gathered in one task or expanded into all its pairs.
+change nothing. In the others, each node outside the bucket's largest component is compared with every node
+of another component. So every pair that shares a bucket is either compared or already connected, and no
+group is gathered in one task or expanded into all its pairs. Pairs are first judged by size and by the share
+of equal signature values (a pair at the threshold falls 6 standard errors short once in a billion), then on the full sets.
 
 Sets of similarity 0.8 agree in one of 32 bands of 5 with probability 1 - 3e-6; the miss rate falls steeply above.
 
@@ -29,71 +30,125 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.llm.common import LOWER, fields, ship, stored
+from claimlake.llm.common import LOWER, MASK, fields, ship, stored
 from claimlake.llm.components import components
 
-#: Bands, values in a band, seed; words that a worker remembers; shingles permuted at once.
-BANDS, ROWS, SEED, MEMO_SIZE, CHUNK = 32, 5, 5, 500_000, 1024
+#: Bands, values in a band, seed; shingles permuted at once; bytes of a text hashed at once.
+BANDS, ROWS, SEED, CHUNK, BLOCK = 32, 5, 5, 512, 1 << 20
+#: Standard errors by which a pair's estimate may fall short before the pair is left out.
+ERRORS = 6.0
 NODE = T.DecimalType(38, 0)
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _Memo(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) > MEMO_SIZE:
-                self.clear()
-            self[word] = value
-        return value
-
-
-WORDS = _Memo()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * MIX1
     x = (x ^ (x >> np.uint64(27))) * MIX2
     return x ^ (x >> np.uint64(31))
 
 
+class WordHasher:
+    """Hashes of all words of a text at once.
+
+    Each byte has a random number, weighed by a power of an odd base for its place. A running sum gives any
+    word's sum as a difference, and the inverse power of the place where the word starts makes it the same at
+    every place. Texts go in blocks that end between words.
+    """
+
+    def __init__(self) -> None:
+        random = np.random.default_rng(SEED)
+        numbers = random.integers(1, 1 << 64, 256, np.uint64, endpoint=False)
+        self.numbers = numbers[np.frombuffer(LOWER, np.uint8)]
+        self.blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self.base = int(random.integers(1 << 62, 1 << 63)) | 1
+        self.powers = self.inverse = np.ones(0, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        if n > len(self.powers):
+            size = 1 << max(14, (n - 1).bit_length())
+            for name, base in (("powers", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
+                row = np.full(size, base & MASK, np.uint64)
+                row[0] = 1
+                setattr(self, name, np.cumprod(row))
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        if len(text) <= BLOCK:
+            return self._block(np.frombuffer(text, np.uint8))
+        out, at = [], 0
+        while at < len(text):
+            end = at + BLOCK
+            while end < len(text) and not self.blank[text[end]]:
+                end += 1
+            out.append(self._block(np.frombuffer(text, np.uint8, min(end, len(text)) - at, at)))
+            at = end
+        return np.concatenate(out)
+
+    def _block(self, data: np.ndarray) -> np.ndarray:
+        letters = np.zeros(len(data) + 2, np.int8)
+        letters[1:-1] = ~self.blank[data]
+        edges = np.flatnonzero(np.diff(letters))
+        starts, ends = edges[::2], edges[1::2]
+        self._reach(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.numbers[data] * self.powers[: len(data)], out=sums[1:])
+        return _mixed((sums[ends] - sums[starts]) * self.inverse[starts])
+
+
+HASHER = WordHasher()
+
+
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles of ``size`` words; of fewer words, the whole sequence is one."""
-    words = text.translate(LOWER).split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
-    k = min(size, len(words))
+    hashes = HASHER(text) if text else np.zeros(0, np.uint64)
+    if not len(hashes):
+        return hashes
+    k = min(size, len(hashes))
     out = np.full(len(hashes) - k + 1, k, np.uint64)
     for i in range(k):
         out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(hashes) - k + 1 + i])
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 class Signer:
-    """Permutations, and band keys of a set under them."""
+    """Permutations of 32-bit numbers, and band keys of sets under them."""
 
     def __init__(self, bands: int, rows: int):
         random = np.random.default_rng(SEED)
         self.bands, self.rows = bands, rows
         n = -(-bands // 2) * rows
-        self.a = random.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.b = random.integers(0, 1 << 63, n, np.uint64)
-
-    def keys(self, of: np.ndarray) -> np.ndarray:
-        """Half of the bands hold minima, half maxima."""
-        low = np.full(len(self.a), np.iinfo(np.uint64).max, np.uint64)
-        high = np.zeros(len(self.a), np.uint64)
-        for start in range(0, len(of), CHUNK):
-            values = self.a[:, None] * of[None, start : start + CHUNK]
-            values += self.b[:, None]
+        self.a = random.integers(0, 1 << 32, (n, 1), np.uint32) | np.uint32(1)
+        self.b = random.integers(0, 1 << 32, (n, 1), np.uint32)
+
+    def signature(self, of: np.ndarray) -> np.ndarray:
+        """The smallest, then the largest value of the set under each permutation."""
+        numbers = (of >> np.uint64(32)).astype(np.uint32)
+        low = np.full(len(self.a), np.iinfo(np.uint32).max, np.uint32)
+        high = np.zeros(len(self.a), np.uint32)
+        for start in range(0, len(numbers), CHUNK):
+            values = self.a * numbers[None, start : start + CHUNK]
+            values += self.b
             np.minimum(low, values.min(1), out=low)
             np.maximum(high, values.max(1), out=high)
-        signature = np.concatenate((low, high)).reshape(-1, self.rows)[: self.bands]
-        out = np.arange(self.bands, dtype=np.uint64)
+        return np.concatenate((low, high))
+
+    def keys(self, signatures: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(band keys, 16 bits of each value), a row per set. Half of the bands hold minima, half maxima."""
+        values = np.stack(signatures).reshape(len(signatures), -1, self.rows)[:, : self.bands]
+        values = _mixed(values.astype(np.uint64) + np.uint64(SEED))
+        out = np.broadcast_to(np.arange(self.bands, dtype=np.uint64), values.shape[:2])
         for k in range(self.rows):
-            out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + signature[:, k])
-        return out.view(np.int64)
+            out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + values[:, :, k])
+        return out.view(np.int64), values.reshape(len(values), -1).astype(np.uint16)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the share of equal signature values, an unbiased estimate of the similarity, comes near ``percent``.
+
+    Rows are signatures. Values that agree in their 16 bits by chance raise the estimate, never lower it.
+    """
+    share = percent / 100
+    return (a == b).mean(1) >= share - ERRORS * np.sqrt(share * (1 - share) / a.shape[1])
 
 
 def decimals(values: list[int | None]) -> pa.Array:
@@ -104,24 +159,29 @@ def decimals(values: list[int | None]) -> pa.Array:
 
 
 def sign(docs: DataFrame, size: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, text_hash, n_shingles, node, keys`` of every row; node and keys are null for empty sets."""
+    """``id, text_hash, n_shingles, node, keys, signature`` of every row; the last three are null for empty sets."""
     signer = docs.sparkSession.sparkContext.broadcast(Signer(bands, rows))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, nodes, keys = [], [], []
+            n, nodes, signatures = [], [], []
             for text in batch.column("text").cast(pa.binary()):
                 of = shingle_set(text.as_py(), size)
                 n.append(len(of))
                 nodes.append(xxhash.xxh3_128_intdigest(of.tobytes()) >> 2 if len(of) else None)
-                keys.append(signer.value.keys(of) if len(of) else None)
+                if len(of):
+                    signatures.append(signer.value.signature(of))
+            keys, values = signer.value.keys(signatures) if signatures else ([], [])
+            rows = iter(range(len(signatures)))
+            at = [next(rows) if size else None for size in n]
             yield pa.RecordBatch.from_pydict({
                 "id": batch.column("id"), "text_hash": batch.column("text_hash"), "n_shingles": pa.array(n, pa.int64()),
-                "node": decimals(nodes), "keys": pa.array(keys, pa.list_(pa.int64())),
+                "node": decimals(nodes), "keys": pa.array([None if k is None else keys[k] for k in at], pa.list_(pa.int64())),
+                "signature": pa.array([None if k is None else values[k].tobytes() for k in at], pa.binary()),
             })
 
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, fields(texts, "id", "text_hash", and_="n_shingles long, node decimal(38,0), keys array<long>"))
+    return texts.mapInArrow(run, fields(texts, "id", "text_hash", and_="n_shingles long, node decimal(38,0), keys array<long>, signature binary"))
 
 
 class NearDuplicates:
@@ -132,69 +192,72 @@ class NearDuplicates:
         self.signed = stored(sign(docs, size, bands, rows, id_col, text_col), "signed")
         nodes = self.signed.where("n_shingles > 0").select("node", "keys").dropDuplicates(["node"])
         keyed = nodes.select(F.explode("keys").alias("key"), "node")
-        centres = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+        centres = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").drop("last")
         self.shared = stored(keyed.join(centres, "key"), "shared")
-        self.texts = stored(self._texts(), "texts")
-
-    def _texts(self) -> DataFrame:
-        """``node, n, text``: one text of every node that shares a bucket."""
-        asked = self.shared.select("node").distinct()
-        chosen = self.signed.select("node", "n_shingles", "id", "text_hash").join(asked, "node").groupBy("node", "n_shingles").agg(F.min(F.struct("id", "text_hash")).alias("row"))
-        chosen = chosen.select("node", F.col("n_shingles").alias("n"), F.col("row.id").alias("cid"), F.col("row.text_hash").alias("chash"))
+        self.sets = stored(self._sets(), "sets")
+
+    def _sets(self) -> DataFrame:
+        """``node, n, signature, shingles``: the full set of every node that shares a bucket, made from one of its texts."""
+        size, asked = self.size, self.shared.select("node").distinct()
+        chosen = self.signed.select("node", "signature", "n_shingles", "id", "text_hash").join(asked, "node")
+        chosen = chosen.groupBy("node").agg(F.min(F.struct("id", "text_hash", "n_shingles", "signature")).alias("row"))
+        chosen = chosen.select("node", F.col("row.n_shingles").alias("n"), "row.signature", F.col("row.id").alias("cid"), F.col("row.text_hash").alias("chash"))
         texts = self.docs.select(F.col(self.id_col).alias("id"), F.xxhash64(self.text_col).alias("text_hash"), F.col(self.text_col).alias("text"))
-        found = texts.join(chosen, F.col("id").eqNullSafe(F.col("cid")) & (F.col("text_hash") == F.col("chash"))).select("node", "n", "text")
-        return found.dropDuplicates(["node"])
+        found = texts.join(chosen, F.col("id").eqNullSafe(F.col("cid")) & (F.col("text_hash") == F.col("chash"))).dropDuplicates(["node"])
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sets = [shingle_set(t.as_py(), size).tobytes() for t in batch.column("text").cast(pa.binary())]
+                yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "n": batch.column("n"), "signature": batch.column("signature"), "shingles": pa.array(sets, pa.binary())})
+
+        found = found.select("node", "n", "signature", "text")
+        return found.mapInArrow(run, fields(found, "node", "n", "signature", and_="shingles binary"))
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` whose sets have the similarity; pairs of too different sizes are left out unseen."""
-        size, percent = self.size, self.percent
-        sizes = self.texts.select("node", "n")
-        left, right = (sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
-        pairs = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-        left, right = (self.texts.select(F.col("node").alias(x), F.col("text").alias(f"text{x}")) for x in "ab")
+        """The pairs ``a, b`` whose sets have the similarity.
+
+        Pairs whose sizes or signatures rule it out are left out; the rest are confirmed on the full sets.
+        """
+        percent = self.percent
+        side = lambda x, *names: self.sets.select(F.col("node").alias(x), *[F.col(n).alias(n + x) for n in names])
+
+        def rough(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("signaturea", "signatureb"))
+                    yield batch.select(["a", "b"]).filter(pa.array(may_be_similar(a, b, percent)))
 
         def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, held = None, None  # rows come sorted by b if the join sorted them: its set is then made once
             for batch in batches:
-                a_texts, b_texts = (batch.column(c).cast(pa.binary()) for c in ("texta", "textb"))
                 keep = []
-                for k, b in enumerate(batch.column("b")):
-                    if b != last:
-                        last, held = b, shingle_set(b_texts[k].as_py(), size)
-                    a = shingle_set(a_texts[k].as_py(), size)
-                    common = len(a) + len(held) - len(np.union1d(a, held))
-                    keep.append(100 * common >= percent * (len(a) + len(held) - common))
+                for a, b in zip(batch.column("shinglesa"), batch.column("shinglesb"), strict=True):
+                    a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                    common = int((b[at] == a).sum())
+                    keep.append(100 * common >= percent * (len(a) + len(b) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "texta", "textb").mapInArrow(confirm, fields(pairs, "a", "b"))
+        near = pairs.join(side("a", "n", "signature"), "a").join(side("b", "n", "signature"), "b")
+        near = near.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "signaturea", "signatureb")
+        near = near.mapInArrow(rough, fields(pairs, "a", "b"))
+        return near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").select("a", "b", "shinglesa", "shinglesb").mapInArrow(confirm, fields(pairs, "a", "b"))
 
     def find(self) -> DataFrame:
         """``node, root`` of all nodes that link with another one."""
         ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-        tested = stored(self.shared.where("node <> first").select(*ordered("node", "first")).distinct(), "pairs")
+        tested = self.shared.where("node <> first").select(*ordered("node", "first")).distinct()
         links = stored(self.links(tested), "links")
         roots = stored(components(links), "roots")
-        for step in ("last", "rest"):
-            rooted = self.shared.join(roots, "node", "left").select("key", "node", "last", F.coalesce("root", "node").alias("root"))
-            unsettled = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-            rooted = stored(rooted.join(unsettled, "key"), "unsettled")
-            if step == "last":
-                centres = rooted.where("node = last").select("key", F.col("root").alias("centre_root"))
-                pairs = rooted.join(centres, "key").where("root <> centre_root").select(*ordered("node", "last"))
-            else:
-                counts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-                largest = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
-                minor = rooted.join(largest, "key").where("root <> largest").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-                pairs = rooted.join(minor, "key").where("root <> other_root").select(*ordered("node", "other"))
-            pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-            if pairs.isEmpty():
-                continue
-            new = stored(self.links(pairs), "links")
-            tested = tested.unionByName(pairs)
-            if not new.isEmpty():
-                links = links.unionByName(new)
-                roots = stored(components(links), "roots")
-        return roots
+        rooted = self.shared.join(roots, "node", "left").select("key", "node", "first", F.coalesce("root", "node").alias("root"))
+        counts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+        open_keys = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
+        rooted = rooted.join(open_keys.where("roots > 1"), "key").drop("roots")
+        minor = rooted.where("root <> largest").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
+        pairs = rooted.join(minor, "key").where("root <> other_root and node <> first and other <> first")  # those with the centre are tested
+        more = stored(self.links(pairs.select(*ordered("node", "other")).distinct()), "links")
+        if more.isEmpty():
+            return roots
+        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
