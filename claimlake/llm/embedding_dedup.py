@@ -23,7 +23,7 @@ without an id is never the smallest. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import fields, ship, stored
+from claimlake.llm.common import decimals, fields, matrix, per_tile, ship, stored
 from claimlake.llm.components import components
-from claimlake.llm.minhash_dedup import decimals
 
 #: Bits of a bucket key, bands, nodes in a tile's side, standard errors of the confidence bound, seed.
 BITS, BANDS, TILE, ERRORS, SEED = 10, 28, 512, 5.0, 3
@@ -126,48 +125,6 @@ def tiles(rows: DataFrame) -> DataFrame:
     return dealt.repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "node")
 
 
-def per_tile(work: Callable[[dict[str, list]], pa.RecordBatch | None], names: list[str]):
-    """A batch function that calls ``work`` with the columns of one tile after the other; tiles hold at most two chunks."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def finish() -> pa.RecordBatch | None:
-            table = pa.Table.from_batches(held) if held else None
-            held.clear()
-            return work(table) if table is not None and table.num_rows > 1 else None
-
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
-            new = np.zeros(batch.num_rows, bool)
-            for column in columns:
-                new[1:] |= column[1:] != column[:-1]
-            now = tuple(c[0] for c in columns)
-            new[0] = now != last
-            last = tuple(c[-1] for c in columns)
-            starts = [*np.flatnonzero(new).tolist(), batch.num_rows]
-            if starts[0]:
-                held.append(batch.slice(0, starts[0]))
-            for a, b in zip(starts, starts[1:], strict=False):
-                out = finish()
-                if out is not None:
-                    yield out
-                held.append(batch.slice(a, b - a))
-        out = finish()
-        if out is not None:
-            yield out
-
-    return run
-
-
-def matrix(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
-
-
 def sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
     """Row numbers of the tile's two chunks, and whether they are one."""
     chunk = table.column("chunk").to_numpy()

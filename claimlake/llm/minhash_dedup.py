@@ -7,9 +7,9 @@ are bucket keys.
 Documents of equal sets are one node (a 126-bit digest of the set), whatever their number. Only nodes are
 banded. In each bucket all nodes are first compared with one centre, not with each other. Links confirmed on the full
 sets give components; a bucket whose nodes are all in one component needs nothing more, since further links
-change nothing. In the others, each node outside the bucket's largest component is compared with every node
-of another component. So every pair that shares a bucket is either compared or already connected, and no
-group is gathered in one task or expanded into all its pairs. Pairs are first judged by size and by the share
+change nothing. In the others, each node outside the bucket's largest component is compared with every node of
+another component, in tiles of bounded size that give linked components, not pairs. So every pair that shares a
+bucket is either compared or already connected, and no group is gathered in one task. Pairs are first judged by size and by the share
 of equal signature values (a pair at the threshold falls 6 standard errors short once in a billion), then on the full sets.
 
 Sets of similarity 0.8 agree in one of 32 bands of 5 with probability 1 - 3e-6; the miss rate falls steeply above.
@@ -28,16 +28,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from claimlake.llm.common import LOWER, MASK, fields, ship, stored
+from claimlake.llm.common import LOWER, MASK, decimals, fields, matrix, per_tile, ship, stored
 from claimlake.llm.components import components
 
 #: Bands, values in a band, seed; shingles permuted at once; bytes of a text hashed at once.
 BANDS, ROWS, SEED, CHUNK, BLOCK = 32, 5, 5, 512, 1 << 20
+#: Nodes in a tile's side, and what tells tiles apart.
+TILE, TILE_KEY = 512, ["largest", "chunk_a", "chunk_b"]
 #: Standard errors by which a pair's estimate may fall short before the pair is left out.
 ERRORS = 6.0
-NODE = T.DecimalType(38, 0)
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -151,13 +151,6 @@ def may_be_similar(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return (a == b).mean(1) >= share - ERRORS * np.sqrt(share * (1 - share) / a.shape[1])
 
 
-def decimals(values: list[int | None]) -> pa.Array:
-    """126-bit numbers as an Arrow column of NODE's type."""
-    data = b"".join((v or 0).to_bytes(16, "little") for v in values)
-    valid = np.packbits(np.array([v is not None for v in values], bool), bitorder="little").tobytes()
-    return pa.Array.from_buffers(pa.decimal128(38, 0), len(values), [pa.py_buffer(valid), pa.py_buffer(data)])
-
-
 def sign(docs: DataFrame, size: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     """``id, text_hash, n_shingles, node, keys, signature`` of every row; the last three are null for empty sets."""
     signer = docs.sparkSession.sparkContext.broadcast(Signer(bands, rows))
@@ -192,8 +185,12 @@ class NearDuplicates:
         self.signed = stored(sign(docs, size, bands, rows, id_col, text_col), "signed")
         nodes = self.signed.where("n_shingles > 0").select("node", "keys").dropDuplicates(["node"])
         keyed = nodes.select(F.explode("keys").alias("key"), "node")
-        centres = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").drop("last")
-        self.shared = stored(keyed.join(centres, "key"), "shared")
+        several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = stored(keyed.join(several, "key"), "met")
+        # A bucket's centre is the node that meets the most others: of many noisy copies, the one nearest to all.
+        meets = met.join(met.groupBy("node").agg(F.sum("n").alias("meets")), "node")
+        centres = meets.groupBy("key").agg(F.max_by("node", F.struct("meets", "node")).alias("centre"))
+        self.shared = stored(met.select("key", "node").join(centres, "key"), "shared")
         self.sets = stored(self._sets(), "sets")
 
     def _sets(self) -> DataFrame:
@@ -245,20 +242,68 @@ class NearDuplicates:
     def find(self) -> DataFrame:
         """``node, root`` of all nodes that link with another one."""
         ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-        tested = self.shared.where("node <> first").select(*ordered("node", "first")).distinct()
-        links = stored(self.links(tested), "links")
-        roots = stored(components(links), "roots")
-        rooted = self.shared.join(roots, "node", "left").select("key", "node", "first", F.coalesce("root", "node").alias("root"))
-        counts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        open_keys = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
-        rooted = rooted.join(open_keys.where("roots > 1"), "key").drop("roots")
-        minor = rooted.where("root <> largest").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-        pairs = rooted.join(minor, "key").where("root <> other_root and node <> first and other <> first")  # those with the centre are tested
-        more = stored(self.links(pairs.select(*ordered("node", "other")).distinct()), "links")
+        pairs = self.shared.where("node <> centre").select(*ordered("node", "centre")).distinct()
+        roots = stored(components(stored(self.links(pairs), "links")), "roots")
+        more = stored(self.joined_roots(roots), "links")
         if more.isEmpty():
             return roots
         return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
+    def joined_roots(self, roots: DataFrame) -> DataFrame:
+        """``a, b``: components that have a link between them which no centre has shown.
+
+        Buckets with nodes of several components are gathered by their largest component. Its nodes there are
+        the major ones, the others minor; each minor node is compared with every major and every other minor one. Both
+        are dealt in chunks, each two chunks are a tile, and a tile gives only which components are linked.
+        """
+        rooted = self.shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        counts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+        open_keys = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
+        open_rows = rooted.join(open_keys.where("roots > 1"), "key")
+        nodes = stored(open_rows.groupBy("largest", "node", "root").agg(F.lit(1).alias("one")).select("largest", "node", "root", (F.col("root") != F.col("largest")).alias("minor")), "open-nodes")
+        chunks = nodes.groupBy("largest").agg(F.ceil(F.count_if("minor") / TILE).alias("minors"), F.ceil(F.count_if(~F.col("minor")) / TILE).alias("majors"))
+        # Chunks of minor nodes are numbered from 0 on, those of major ones after them; a tile's first chunk is a minor one.
+        number = F.when(F.col("minor"), F.pmod(F.xxhash64("node"), F.col("minors"))).otherwise(F.col("minors") + F.pmod(F.xxhash64("node"), F.greatest("majors", F.lit(1))))
+        numbered = nodes.join(chunks, "largest").withColumn("chunk", number)
+        others = F.when(F.col("minor"), F.sequence(F.lit(0), F.col("minors") + F.col("majors") - 1)).otherwise(F.sequence(F.lit(0), F.col("minors") - 1))
+        dealt = numbered.withColumn("other", F.explode(others)).select(
+            "largest", F.least("chunk", "other").alias("chunk_a"), F.greatest("chunk", "other").alias("chunk_b"), "chunk", "node", "root"
+        )
+        sets = self.sets.select("node", "signature", "shingles")
+        dealt = dealt.join(sets, "node").repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
+        percent = self.percent
+
+        def work(table: pa.Table) -> pa.RecordBatch | None:
+            chunk = table.column("chunk").to_numpy()
+            left, right = (np.flatnonzero(chunk == table.column(c)[0].as_py()) for c in ("chunk_a", "chunk_b"))
+            names = table.column("root").to_pylist()
+            number = {name: k for k, name in enumerate(dict.fromkeys(names))}
+            root = np.array([number[name] for name in names])
+            signature = matrix(table.column("signature"), np.uint16)
+            shingles = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+            sizes = np.array([len(x) for x in shingles])
+            found = set()
+            for x in left:
+                near = right[root[right] != root[x]]
+                near = near[100 * np.minimum(sizes[near], sizes[x]) >= percent * np.maximum(sizes[near], sizes[x])]
+                if len(near):
+                    near = near[may_be_similar(signature[near], signature[x], percent)]
+                if not len(near):
+                    continue
+                own, theirs = shingles[x], np.concatenate([shingles[k] for k in near])
+                equal = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                common = np.add.reduceat(equal.astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
+                linked = near[100 * common >= percent * (sizes[near] + sizes[x] - common)]
+                found.update((int(root[x]), int(r)) for r in root[linked])
+            if not found:
+                return None
+            column = table.column("root").combine_chunks()
+            first = {r: k for k, r in reversed(list(enumerate(root.tolist())))}
+            return pa.RecordBatch.from_arrays([column.take(pa.array([first[r] for r in side])) for side in zip(*sorted(found), strict=True)], ["a", "b"])
+
+        linked = dealt.mapInArrow(per_tile(work, TILE_KEY), "a decimal(38,0), b decimal(38,0)")
+        return linked.distinct()
+
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``id_col``, ``text_hash``, ``n_shingles``, ``component_id`` (the smallest id reachable) and ``kept``."""
