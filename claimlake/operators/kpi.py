@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimlake.functions.columns import year_month
 from claimlake.functions.naming import col, find_column
-from claimlake.operators.joins import DEFAULT_LIMITS, JoinLimits, star_join
 
 
 def _figures() -> list[Column]:
@@ -42,8 +41,7 @@ def by_status(claims: DataFrame, status_col: str = "claim_status") -> DataFrame
 
 
 def code_distribution(
-    fact: DataFrame, dim: DataFrame, key: str, code_col: str, top: int | None = None,
-    limits: JoinLimits = DEFAULT_LIMITS,
+    fact: DataFrame, dim: DataFrame, key: str, code_col: str, top: int | None = None
 ) -> DataFrame:
     """Lines per code and their share of all lines; ``top`` gives the most frequent ones only.
 
@@ -54,7 +52,7 @@ def code_distribution(
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("claim_lines"))
     total = counts.agg(F.sum("claim_lines")).scalar()
     share = F.round(F.col("claim_lines").cast("double") / total, 6)
-    named = star_join(counts, [(key, dim.select(key, col(code_col).alias("code")))], limits, skewed=False)
+    named = counts.join(dim.select(key, col(code_col).alias("code")), key, "left")
     per_code = named.groupBy("code").agg(F.sum("claim_lines").alias("claim_lines"))
     result = per_code.withColumn("share", share)
     if top is None:
@@ -62,14 +60,12 @@ def code_distribution(
     return result.orderBy(F.col("claim_lines").desc(), "code").limit(top)
 
 
-def provider_performance(
-    fact: DataFrame, providers: DataFrame, limits: JoinLimits = DEFAULT_LIMITS
-) -> DataFrame:
+def provider_performance(fact: DataFrame, providers: DataFrame) -> DataFrame:
     """Figures per provider and the allowed part of the charge."""
     figures = fact.groupBy("provider_key").agg(*_figures())
     ratio = F.col("total_allowed").cast("double") / F.nullif("total_charge", F.lit(0)).cast("double")
     names = providers.select("provider_key", "provider_id", "provider_specialty")
-    return star_join(figures, [("provider_key", names)], limits, skewed=False).select(
+    return figures.join(names, "provider_key", "left").select(
         "provider_key", "provider_id", "provider_specialty", "encounters", "claim_lines", "total_charge",
         "total_allowed", F.round(ratio, 6).alias("allowed_ratio"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,46 +34,73 @@ def rows(df):
     return sorted(map(str, df.select("key", "value", "attribute").collect()))
 
 
-def test_size(spark, dim):
-    size, empty = joins.measure(dim, dim.limit(0))
-    assert empty == joins.Size(0, 0)
+def test_sizes_are_observed_and_bounded(spark, dim):
+    (size,) = dim.agg(F.count(F.lit(1)), F.sum(joins.row_bytes(dim))).collect()
+    size = joins.Size(*size)
     assert size.rows == 252 and size.bytes > 252 * 64
     assert size.fits(joins.JoinLimits())
     assert not size.fits(joins.JoinLimits(broadcast_rows=251))
     assert not size.fits(joins.JoinLimits(broadcast_bytes=1000))
 
 
-def test_hot_keys(skewed):
-    assert set(joins.hot_keys(skewed, "key", 0.05)) == {"hot", None}
-    assert joins.hot_keys(skewed.limit(0), "key", 0.05) == []
-
-
-def test_small_dimension_is_broadcast(skewed, dim):
-    joined = joins.star_join(skewed, [("key", dim)])
+def test_known_small_dimension_is_broadcast(skewed, dim):
+    joined = joins.star_join(skewed, [("key", dim)], sizes={"key": joins.Size(252, 20_000)})
     assert "BroadcastHashJoin" in plan_of(joined) and "Exchange hashpartitioning" not in plan_of(joined)
     assert rows(joined) == rows(skewed.join(dim, "key", "left"))
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_large_dimension_is_salted(spark, skewed, dim, salts):
-    limits = joins.JoinLimits(broadcast_rows=10, hot_share=0.05, salts=salts)
-    joined = joins.star_join(skewed, [("key", dim)], limits)
-    assert joined.columns == ["key", "value", "attribute"]
-    assert rows(joined) == rows(skewed.join(dim, "key", "left"))
-
-
-def test_salting_spreads_the_hot_key(spark, skewed):
-    """Copies of one row, in many input partitions, reach many salts."""
-    copies = skewed.filter("key = 'hot'").select(F.lit("hot").alias("key"), F.lit(1).alias("value")).repartition(64)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), "key", "value"), F.lit(16))
-    assert copies.select(spread.alias("s")).distinct().count() > 8
-
-
-def test_shuffle_joins_come_before_broadcasts(spark, skewed, dim):
+def test_broadcasts_have_a_total(spark, dim):
+    fact = spark.range(50).selectExpr("cast(id as string) as a", "cast(id as string) as b")
+    dims = [(k, dim.select(F.col("key").alias(k), F.col("attribute").alias(f"{k}_attribute")).hint("x")) for k in "ab"]
+    sizes = {"a": joins.Size(252, 900), "b": joins.Size(252, 800)}
+    plan = joins.star_join(fact, dims, joins.JoinLimits(broadcast_total=1000), sizes)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("strategy=broadcast") == 1
+
+
+def jobs(spark, build):
+    """Number of jobs that ``build`` runs."""
+    group = f"build-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "plan building")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_join_runs_no_job(spark, skewed, dim):
+    assert jobs(spark, lambda: skewed.count()) > 0
+    assert jobs(spark, lambda: joins.star_join(skewed, [("key", dim)], sizes={"key": joins.Size(10**9, 10**12)})) == 0
+
+
+def test_adaptive_execution_splits_the_hot_key_and_the_null_key(spark):
+    """A dimension too large to broadcast: the partitions of hot keys are read by several tasks."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(400_000, numPartitions=8).selectExpr(
+            "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('k', id % 5000) end as key", "uuid() as value")
+        large = spark.range(5000).selectExpr("concat('k', id) as key", "id as attribute").union(spark.sql("select 'hot', -1L"))
+        joined = joins.star_join(fact, [("key", large)])
+        assert joined.count() == 400_000
+        matched = joined.agg(F.count("attribute"), F.max("value"))
+        assert matched.collect()[0][0] > 133_000
+        assert "skew=true" in plan_of(matched)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_joins_that_may_shuffle_come_before_broadcasts(spark, skewed, dim):
     fact = skewed.withColumn("small_key", F.col("value").cast("string"))
     small = spark.range(7).selectExpr("cast(id as string) as small_key", "id * 2 as twice")
-    limits = joins.JoinLimits(broadcast_rows=100)
-    joined = joins.star_join(fact, [("small_key", small), ("key", dim)], limits)
+    joined = joins.star_join(fact, [("small_key", small), ("key", dim.hint("merge"))], sizes={"small_key": joins.Size(7, 700)})
     assert joined.count() == fact.count()
     assert joined.filter("twice <> value * 2").isEmpty()
     assert plan_of(joined).index("BroadcastHashJoin") < plan_of(joined).index("hashpartitioning(key")
@@ -87,14 +116,14 @@ def test_plans_are_numbered_in_key_order(spark):
 def test_every_member_gets_one_plan(spark):
     members = spark.range(2000).select(stable_key("id").alias("member_key"), F.lit("old").alias("plan_key"))
     plans = spark.range(7).select(stable_key("id").alias("plan_key"))
-    for limits in (joins.JoinLimits(), joins.JoinLimits(broadcast_rows=1)):
-        out = D.assign_plans(members, plans, limits)
-        assert out.count() == out.select("member_key").distinct().count() == 2000
-        expected = sorted(r[0] for r in plans.collect())
-        assert all(r["plan_key"] == expected[int(r["member_key"][:8], 16) % 7] for r in out.collect())
-        assert out.groupBy("plan_key").count().agg(F.min("count")).first()[0] > 200
-    with pytest.raises(ValueError, match="no plan_key"):
-        D.assign_plans(members, plans.limit(0))
+    out = D.assign_plans(members, plans)
+    assert out.count() == out.select("member_key").distinct().count() == 2000
+    expected = sorted(r[0] for r in plans.collect())
+    assert all(r["plan_key"] == expected[int(r["member_key"][:8], 16) % 7] for r in out.collect())
+    assert out.groupBy("plan_key").count().agg(F.min("count")).first()[0] > 200
+    assert D.assign_plans(members.withColumn("member_key", F.lit(None).cast("string")), plans).count() == 0
+    with pytest.raises(Exception, match="no plan_key"):
+        D.assign_plans(members, plans.filter("plan_key is null")).collect()
 
 
 def test_null_id_joins_the_null_id_row(spark):
