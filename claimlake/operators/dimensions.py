@@ -16,8 +16,7 @@ from claimlake.functions.columns import (
     stable_key,
 )
 from claimlake.functions.naming import col, find_column, rename_existing
-from claimlake.operators.frames import dedupe_by_key, select_existing
-from claimlake.operators.joins import DEFAULT_LIMITS, JoinLimits, measure
+from claimlake.operators.frames import dedupe_lookup, require_rows, select_existing
 
 
 @dataclass(frozen=True)
@@ -85,23 +84,33 @@ def build_dim(source: DataFrame, spec: DimSpec) -> DataFrame:
         raise ValueError(f"{spec.table}: no column {spec.id} among {source.columns}")
     if spec.upper_id:
         dim = dim.withColumn(id_col, F.upper(col(id_col)))
-    return dedupe_by_key(dim, [id_col]).withColumn(spec.key, stable_key(id_col))
+    return dedupe_lookup(dim, [id_col]).withColumn(spec.key, stable_key(id_col))
 
 
-def expand_code_ranges(places: DataFrame, code_col: str) -> DataFrame:
-    """One row per code for ranges such as ``28-30``; other codes stay as they are.
+def expand_code_ranges(places: DataFrame, code_col: str, max_codes: int = 100_000) -> DataFrame:
+    """One row per code for ranges such as ``28-30`` or ``28 - 30``; other codes stay as they are.
 
-    By default a range is one code, which no single code of a claim matches.
+    Codes keep the width of a first code with leading zeros: ``01-03`` is 01, 02, 03. A range of more
+    than ``max_codes`` codes, or with numbers of more than 18 digits, is an error, not a partial list.
     """
-    code = col(code_col)
-    low = F.regexp_extract(code, "^([0-9]{1,4})-[0-9]{1,4}$", 1)
-    high = F.regexp_extract(code, "^[0-9]{1,4}-([0-9]{1,4})$", 1)
-    is_range = F.ifnull(code.rlike("^[0-9]{1,4}-[0-9]{1,4}$"), F.lit(False))
-    in_order = is_range & (low.try_cast("int") <= high.try_cast("int"))
-    codes = F.when(
-        in_order,
-        F.transform(F.sequence(low.try_cast("int"), high.try_cast("int")), lambda n: n.cast("string")),
-    ).otherwise(F.array(code))
+    code, pattern = col(code_col), r"^\s*([0-9]+)\s*-\s*([0-9]+)\s*$"
+    low, high = (F.regexp_extract(code, pattern, i) for i in (1, 2))
+    first, last = low.try_cast("bigint"), high.try_cast("bigint")
+    is_range = F.ifnull(code.rlike(pattern), F.lit(False))
+    too_long = F.greatest(F.length(low), F.length(high)) > 18
+    refused = F.raise_error(F.concat(F.lit(f"range of more than {max_codes} codes: "), code)).cast("array<string>")
+    padded = F.transform(
+        F.sequence(first, last),
+        lambda n: F.when(low.startswith("0"), F.lpad(n.cast("string"), F.greatest(F.length(low), F.length(n.cast("string"))), F.lit("0")))
+        .otherwise(n.cast("string")),
+    )
+    codes = (
+        F.when(~is_range, F.array(code))
+        .when(too_long, refused)
+        .when(first > last, F.array(code))
+        .when(last - first >= max_codes, refused)
+        .otherwise(padded)
+    )
     return places.withColumn(code_col, F.explode(codes))
 
 
@@ -111,8 +120,10 @@ def code_list(df: DataFrame, code_col: str) -> DataFrame:
 
 
 def first_codes(df: DataFrame, code_col: str) -> DataFrame:
-    """The first number of each code; codes without a digit are dropped."""
-    return df.select(first_integer(code_col).alias("code")).filter(F.col("code").isNotNull())
+    """The first number of each code; codes without a digit are dropped. A list without any number is an error."""
+    codes = df.select(first_integer(code_col).alias("code")).filter(F.col("code").isNotNull())
+    require_rows(codes, f"no number in any code of {code_col}")
+    return codes
 
 
 def dim_date(claims: DataFrame, date_col: str = "admission_date") -> DataFrame:
@@ -152,20 +163,18 @@ def plan_numbers(plans: DataFrame, key: str = "plan_key") -> DataFrame:
 
 
 def assign_plans(
-    members: DataFrame, plans: DataFrame, limits: JoinLimits = DEFAULT_LIMITS,
-    member_key: str = "member_key", plan_key: str = "plan_key",
+    members: DataFrame, plans: DataFrame, member_key: str = "member_key", plan_key: str = "plan_key"
 ) -> DataFrame:
     """Give every member with a key one plan, evenly spread and the same on each run.
 
-    The plan number is taken from the member key's hash. Any ``plan_key`` the members have is replaced.
+    The plan number is taken from the member key's hash, the number of plans from a scalar subquery.
+    Any ``plan_key`` the members have is replaced. Without plans the query fails.
     """
     keyed = members.filter(col(member_key).isNotNull()).drop(plan_key)
     numbered = plan_numbers(plans, plan_key)
-    (size,) = measure(numbered)
-    if size.rows == 0:
-        raise ValueError(f"no {plan_key} to assign members to")
-    if size.fits(limits):
-        numbered = F.broadcast(numbered)
-    hashed = F.conv(F.substring(col(member_key), 1, 8), 16, 10).cast("long")
-    with_number = keyed.withColumn("plan_number", F.pmod(hashed, F.lit(size.rows)))
-    return with_number.join(numbered, "plan_number", "inner").drop("plan_number")
+    total = numbered.agg(F.count(F.lit(1))).scalar()
+    hashed = F.conv(F.substring(col(member_key), 1, 8), 16, 10).cast("bigint")
+    with_number = keyed.withColumn("plan_number", F.pmod(hashed, F.nullif(total, F.lit(0))))
+    none = F.raise_error(F.lit(f"no {plan_key} to assign members to")).cast("string")
+    joined = with_number.join(numbered, "plan_number", "left").drop("plan_number")
+    return joined.withColumn(plan_key, F.ifnull(plan_key, none))

@@ -35,6 +35,12 @@ def dedupe_by_key(df: DataFrame, keys: Iterable[str], order_by: Iterable[str] =
     ))
 
 
+def dedupe_lookup(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """:func:`dedupe_by_key` for lookups, in which whole rows repeat: equal rows are hashed together
+    first, so that only the distinct ones are sorted for their smallest."""
+    return dedupe_by_key(df.distinct(), keys)
+
+
 def duplicate_groups(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Keys that occur more than once, with their count. Counts are combined before the shuffle."""
     return (
@@ -44,9 +50,12 @@ def duplicate_groups(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     )
 
 
-def newest(df: DataFrame, time_col: str, limit: int = 50, tie: Iterable[str] = ()) -> DataFrame:
+def newest(
+    df: DataFrame, time_col: str, limit: int = 50, tie: Iterable[str] = (), descending_tie: bool = False
+) -> DataFrame:
     """The ``limit`` newest rows; runs as a top-k per partition, not as a full sort."""
-    return df.orderBy(col(time_col).desc(), *(col(t) for t in tie)).limit(limit)
+    ties = (col(t).desc() if descending_tie else col(t) for t in tie)
+    return df.orderBy(col(time_col).desc(), *ties).limit(limit)
 
 
 def latest_batch(df: DataFrame, batch_col: str, time_col: str) -> DataFrame:

@@ -172,6 +172,8 @@ def test_first_integer_and_code_list(spark):
     df = one_column(spark, ["73-80", "x", " 5 ", None, "a12b34"])
     assert apply(df, C.first_integer("v")) == ["73", None, "5", None, "12"]
     assert apply(D.first_codes(df, "v"), "code") == ["73", "5", "12"]
+    with pytest.raises(ValueError, match="no number in any code"):
+        D.first_codes(one_column(spark, ["a", None]), "v")
     assert apply(D.code_list(df, "v"), "code") == ["73-80", "x", "5", "a12b34"]
 
 
@@ -274,9 +276,14 @@ def test_dimension_renames(spark):
 
 
 def test_ranges(spark):
-    df = one_column(spark, ["28-30", "1", None, "9-7", "a-b", "5-5"])
+    df = one_column(spark, ["28-30", "1", None, "9-7", "a-b", "5-5", "01-03", "10000-10002", " 98 - 100 ", "008-11"])
     out = D.expand_code_ranges(df.withColumn("n", F.lit(1)), "v")
-    assert [r["v"] for r in out.collect()] == ["28", "29", "30", "1", None, "9-7", "a-b", "5"]
+    assert [r["v"] for r in out.collect()] == [
+        "28", "29", "30", "1", None, "9-7", "a-b", "5", "01", "02", "03", "10000", "10001", "10002",
+        "98", "99", "100", "008", "009", "010", "011"]
+    for text in ("1-100001", "1-" + "9" * 19):
+        with pytest.raises(Exception, match="range of more than"):
+            D.expand_code_ranges(one_column(spark, [text]), "v").collect()
 
 
 def test_status_is_optional(spark):

@@ -297,7 +297,7 @@ ORACLES: dict[str, str] = {
     "length_of_stay": _sql(
         """select claim_id, service_line_number, admission_date, discharge_date,
           cast(discharge_date - admission_date as int) as days,
-          case when admission_date is not null then discharge_date end as discharge_again
+          cast(admission_date + 31 as date) as limit_of_stay
         from clean""", *_TO_CLEAN),
     "allowed_amount": """
       select l_orderkey, l_linenumber, cast(round(cast(l_extendedprice as decimal(18,2))
@@ -318,9 +318,50 @@ ORACLES: dict[str, str] = {
           round(count(*)::double / (select count(*) from clean), 6) as share
         from clean group by 1""", *_TO_CLEAN),
     "kpi_procedure_dist": _sql(
+        """select procedure_code as code, count(*) as claim_lines,
+          round(count(*)::double / (select count(*) from clean), 6) as share
+        from clean group by 1""", *_TO_CLEAN),
+    "kpi_top_procedures": _sql(
         """select procedure_code as code, count(*) as claim_lines,
           round(count(*)::double / (select count(*) from clean), 6) as share
         from clean group by 1 order by claim_lines desc, code limit 20""", *_TO_CLEAN),
+    "kpi_unmatched_codes": _sql(
+        """select case when diagnosis_code > 'BRAND#3' then diagnosis_code end as code, count(*) as claim_lines,
+          round(count(*)::double / (select count(*) from clean), 6) as share
+        from clean group by 1""", *_TO_CLEAN),
+    "run_columns": """
+      select s_suppkey, 'run-1' as run_id, 'supplier.csv' as source_file from supplier""",
+    "keyless_rejects": """
+      select count(*) as clean_rows, cast(0 as bigint) as rejects from lineitem""",
+    "normalized_headers": """
+      select n_nationkey as place_of_service_code_s, n_name as name_of_it from nation""",
+    "validation_report": """
+      select 'events' as "table", true as "exists", count(*) as rows,
+        count(*) filter (cast(cast(ts as date) as varchar) = '1995-01-01') as rows_this_run from events
+      union all select 'nation', true, count(*), null from nation
+      union all select 'nothing', false, 0, null""",
+    "dq_issue_rows": _sql(
+        """select 'run-1' as gold_run_id, 'DUPLICATE_GRAIN' as issue_type, 'fact_claims' as table_name,
+          count(*) as record_count
+        from (select 1 from clean group by claim_id, member_id, admission_date, service_line_number
+          having count(*) > 1)""", *_TO_CLEAN),
+    "widened_batches": """
+      select s_suppkey as id, 'r1' as run_id, null as segment from supplier
+      union all select c_custkey, 'r2', c_mktsegment from customer""",
+    "unpadded_dates": """
+      select o_orderkey, cast(o_orderdate as date) as service_date from orders""",
+    "fact_by_line_id": _sql(
+        """select claim_id, sha256(claim_id || '/' || service_line_number) as claim_fact_key,
+          sha256('H' || plan_id) as plan_key from clean""", *_TO_CLEAN),
+    "impute_counts": """
+      select cast(l_orderkey as varchar) as claim_id, l_linenumber,
+        cast(case when l_linenumber = 2 then 0 else l_linenumber end as integer) as units,
+        cast(case when l_linenumber = 3 then 0 else 12 end as integer) as quantity,
+        cast(case when l_linenumber > 4 then 0 else 30 end as integer) as days_supply,
+        cast(l_linenumber = 2 as integer) as units_imputed_flag,
+        cast(l_linenumber = 3 as integer) as quantity_imputed_flag,
+        cast(l_linenumber > 4 as integer) as days_supply_imputed_flag
+      from lineitem""",
     "kpi_provider": _sql(
         f"""select f.*, provider_id, provider_specialty,
           round(total_allowed::double / nullif(total_charge, 0)::double, 6) as allowed_ratio

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.functions import columns as C
 from claimlake.operators import dimensions as D
+from claimlake.functions.naming import normalize_headers
 from claimlake.operators import facts, frames, kpi
 from claimlake.operators.standardize import TRIM_ONLY, reject_condition, split_rejects, standardize
-from workload.source import AS_OF, lineitem, lookup, raw_claims, table
+from claimlake.plans import audit
+from workload.source import AS_OF, lookup, raw_claims, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +78,7 @@ def impute_flags(spark, sf_dir):
 
 
 def stable_key(spark, sf_dir):
-    return lineitem(spark, sf_dir).select(
+    return table(spark, sf_dir, "lineitem").select(
         C.stable_key("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date")).alias("line_key"),
         C.stable_key("l_partkey").alias("part_key"),
     )
@@ -147,12 +150,12 @@ def length_of_stay(spark, sf_dir):
     days = F.datediff("discharge_date", "admission_date")
     return stays.select(
         "claim_id", "service_line_number", "admission_date", "discharge_date", days.alias("days"),
-        C.days_later("admission_date", days).alias("discharge_again"),
+        C.days_later("admission_date", F.lit(31)).alias("limit_of_stay"),
     )
 
 
 def allowed_amount(spark, sf_dir):
-    return lineitem(spark, sf_dir).select(
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
         C.share_of_amount(
             F.col("l_extendedprice").cast("decimal(18,2)"), 1 - F.col("l_discount").cast("decimal(4,2)")
@@ -193,12 +196,91 @@ def kpi_diagnosis_dist(spark, sf_dir):
 
 
 def kpi_procedure_dist(spark, sf_dir):
+    dim = _dim(D.PROCEDURE_CODES)(spark, sf_dir)
+    return kpi.code_distribution(
+        fact(spark, sf_dir, "procedure_code", "admission_date"), dim, "procedure_code_key", "procedure_code")
+
+
+def kpi_top_procedures(spark, sf_dir):
+    """The twenty most frequent procedures: a report of its own beside the full distribution."""
     dim = _dim(D.PROCEDURE_CODES)(spark, sf_dir)
     return kpi.code_distribution(
         fact(spark, sf_dir, "procedure_code", "admission_date"), dim, "procedure_code_key", "procedure_code",
         top=20)
 
 
+def kpi_unmatched_codes(spark, sf_dir):
+    """A code list that lacks some codes: their lines are counted under null."""
+    dim = _dim(D.DIAGNOSIS_CODES)(spark, sf_dir).filter(F.col("DIAGNOSIS_CODE") > "BRAND#3")
+    return kpi.code_distribution(
+        fact(spark, sf_dir, "diagnosis_code", "admission_date"), dim, "diagnosis_code_key", "DIAGNOSIS_CODE")
+
+
+def run_columns(spark, sf_dir):
+    """Rows stamped with run id and origin, as the raw layer does; the time is left out."""
+    from claimlake.plans.bronze import stamp
+
+    return stamp(table(spark, sf_dir, "supplier").select("s_suppkey"), "run-1", "source_file", "supplier.csv").drop("ingestion_timestamp")
+
+
+def keyless_rejects(spark, sf_dir):
+    """Claims without any required key column: none is rejected."""
+    renamed = standardize(raw_claims(spark, sf_dir, ["claim_id", "units"]).withColumnRenamed("claim_id", "claim"))
+    bad = reject_condition(renamed)
+    return renamed.agg(F.count_if(~bad).alias("clean_rows"), F.count_if(bad).alias("rejects"))
+
+
+def normalized_headers(spark, sf_dir):
+    odd = table(spark, sf_dir, "nation").selectExpr("n_nationkey as `Place of Service Code(s)`", "n_name as ` NAME--of-it `")
+    return normalize_headers(odd)
+
+
+def validation_report(spark, sf_dir):
+    """Rows per table, and of one run, in one frame."""
+    events = table(spark, sf_dir, "events").withColumn("run_id", F.to_date("ts").cast("string"))
+    lines = [
+        audit.report_line("events", events, "run_id", "1995-01-01"), audit.report_line("nation", table(spark, sf_dir, "nation")),
+        audit.report_line("nothing", None),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), lines)
+
+
+def dq_issue_rows(spark, sf_dir):
+    """The issue record of duplicate grain keys, without its time."""
+    counted = facts.duplicate_grain_count(clean(spark, sf_dir, *facts.GRAIN_FALLBACK))
+    return counted.select(
+        F.lit("run-1").alias("gold_run_id"), F.lit("DUPLICATE_GRAIN").alias("issue_type"),
+        F.lit("fact_claims").alias("table_name"), F.col("duplicate_groups").alias("record_count"))
+
+
+def widened_batches(spark, sf_dir):
+    """Two batches, the later one with a new column, read together by name."""
+    first = table(spark, sf_dir, "supplier").selectExpr("s_suppkey as id", "'r1' as run_id")
+    second = table(spark, sf_dir, "customer").selectExpr("'r2' as run_id", "c_custkey as id", "c_mktsegment as segment")
+    return first.unionByName(second, allowMissingColumns=True)
+
+
+def unpadded_dates(spark, sf_dir):
+    raw = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "date_format(cast(o_orderdate as date), 'M/d/yyyy') as service_date")
+    return standardize(raw)
+
+
+def fact_by_line_id(spark, sf_dir):
+    """The line id is the grain where claims have one, and health_plan_id comes before plan_id."""
+    claims = clean(spark, sf_dir, "claim_id", "service_line_number", "plan_id").selectExpr(
+        "*", "concat(claim_id, '/', service_line_number) as claim_line_id", "concat('H', plan_id) as health_plan_id")
+    return facts.fact_claims(facts.apply_rules(claims)).select("claim_id", "claim_fact_key", "plan_key")
+
+
+def impute_counts(spark, sf_dir):
+    """All count columns, some missing or no numbers."""
+    raw = table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey as string) as claim_id", "l_linenumber", "case when l_linenumber = 2 then null else cast(l_linenumber as string) end as units",
+        "case when l_linenumber = 3 then 'three' else ' 12 ' end as quantity", "case when l_linenumber > 4 then '' else '30' end as days_supply")
+    return facts.apply_rules(standardize(raw)).drop("is_rx_claim")
+
+
 def kpi_provider(spark, sf_dir):
     dim = _dim(D.PROVIDERS)(spark, sf_dir)
     return kpi.provider_performance(fact(spark, sf_dir, "provider_id", "admission_date", *_AMOUNTS), dim)
@@ -221,6 +303,8 @@ QUERIES: dict[str, Query] = {
         dim_place_of_service_ranges, assign_plan, dim_date, fact_claims, dq_duplicate_grain,
         duplicate_claims, dedupe_claims, mart_plan_month, bi_fact_claims_enriched, pos_first_code,
         code_list, age_years, length_of_stay, allowed_amount, recent_events, reconcile_counts,
+        run_columns, keyless_rejects, normalized_headers, validation_report, dq_issue_rows, widened_batches,
+        unpadded_dates, fact_by_line_id, impute_counts, kpi_top_procedures, kpi_unmatched_codes,
         kpi_totals, kpi_utilization_trend, kpi_diagnosis_dist, kpi_procedure_dist, kpi_provider,
         kpi_claim_type, kpi_claim_status)},
 }
