@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.config import BRONZE, SILVER, LookupSpec, RunContext
+from claimlake.functions.naming import existing
 from claimlake.operators.frames import choose_batch, in_batch, require_rows
 from claimlake.operators.standardize import (
+    REQUIRED_KEYS,
     TRIM_ONLY,
     may_be_rejected,
     split_rejects,
@@ -44,6 +46,8 @@ def clean_claims(store: TableStore, log: RunLog, bronze_run_id: str) -> None:
     with log.step(f"{source} (run_id={bronze_run_id})", cfg.table(SILVER, CLAIMS_TABLE)) as counts:
         batch = in_batch(store.read(BRONZE, bronze.CLAIMS_TABLE), "run_id", bronze_run_id)
         require_rows(batch, f"run_id={bronze_run_id} in {source}")
+        if not existing(batch, REQUIRED_KEYS):
+            log.issue("NO_REQUIRED_KEY_COLUMN", source, 0, f"none of {', '.join(REQUIRED_KEYS)}: no row can be rejected")
         seen = RowCounter()
         clean, _ = split_rejects(standardize(seen.watch(batch)))
         clean = stamp(clean, run_id, bronze_run_id)
@@ -57,6 +61,7 @@ def clean_claims(store: TableStore, log: RunLog, bronze_run_id: str) -> None:
         kept = store.append(rejects, SILVER, REJECTS_TABLE, ["silver_run_id"])
         if kept != counts.rejected:
             raise RuntimeError(f"{counts.rejected} rows were rejected, {kept} written to rejects")
+        store.record_batch(SILVER, CLAIMS_TABLE, run_id, log.run.now(), counts.written)
 
 
 def clean_lookup(store: TableStore, log: RunLog, spec: LookupSpec, bronze_run_id: str) -> None:
@@ -78,8 +83,12 @@ def run_silver(store: TableStore, run: RunContext | None = None) -> str:
     ensure_audit_tables(store, SILVER)
     with RunLog(store, SILVER, run) as log:
         raw = store.read(BRONZE, bronze.CLAIMS_TABLE)
-        bronze_run_id = choose_batch(raw, "run_id", "ingestion_timestamp", cfg.process_run_id)
+        wanted = cfg.process_run_id
+        if wanted.strip().lower() == "latest":
+            wanted = store.newest_batch(BRONZE, bronze.CLAIMS_TABLE) or wanted
+        bronze_run_id = choose_batch(raw, "run_id", "ingestion_timestamp", wanted)
         clean_claims(store, log, bronze_run_id)
+        log.flush()
         lookups = [partial(clean_lookup, store, log, spec, bronze_run_id) for spec in cfg.lookups]
         together(store.spark, lookups, cfg.steps_at_once)
     return run.run_id

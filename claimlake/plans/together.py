@@ -6,15 +6,20 @@ A small table's job occupies a few cores for a moment; several at once keep the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
 def together(spark: SparkSession, steps: Iterable[Callable[[], object]], width: int) -> None:
-    """Run all steps, ``width`` at a time; when all have ended, raise the first error if any."""
+    """Run all steps, ``width`` at a time. After the first error no further step starts; it is raised when
+    those under way have ended."""
     with ThreadPoolExecutor(max_workers=width) as pool:
         started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        wait(started, return_when=FIRST_EXCEPTION)
+        if any(step.done() and step.exception() for step in started):
+            pool.shutdown(wait=True, cancel_futures=True)
     for step in started:
-        step.result()
+        if not step.cancelled():
+            step.result()
