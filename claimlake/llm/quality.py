@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from claimlake.llm.common import LOWER, fields, ship
 
 #: Hash slots, vector length, sampled documents, passes, learning rate, seed; words that a worker remembers.
-FEATURES, SIZE, SAMPLE, EPOCHS, RATE, SEED = 1 << 16, 8, 6000, 6, 0.5, 11
+FEATURES, SIZE, SAMPLE, EPOCHS, RATE, SEED = 1 << 16, 8, 4000, 4, 0.5, 11
 MEMO_SIZE, MEMO_BYTES = 800_000, 64
 #: n-gram lengths in bytes, and the multiplier of their polynomial hash.
 GRAMS, BASE = (3, 4, 5), 0x100000001B3
@@ -204,16 +204,16 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = 0.3, id_col:
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
-    """``id, text, score`` of rows with ``id`` and ``text``."""
+    """``id, score`` of rows with ``id`` and ``text``."""
     ship(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = sent.value.scores(t.as_py() for t in batch.column("text").cast(pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(values, pa.float64())], ["id", "text", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(values, pa.float64())], ["id", "score"])
 
-    return rows.mapInArrow(score, fields(rows, "id", "text", and_="score double"))
+    return rows.mapInArrow(score, fields(rows, "id", and_="score double"))
 
 
 def good_documents(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
