@@ -27,6 +27,7 @@ from itertools import chain
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -278,7 +279,7 @@ def decode_texts(coded: DataFrame, model: str, ids_col: str = "token_ids", out:
     codec = coded.sparkSession.sparkContext.broadcast(PieceCodec(model))
 
     @F.pandas_udf("string")
-    def decode(parts: Iterator) -> Iterator:
+    def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for ids in parts:
             yield ids.map(lambda i: codec.value.decode(i) if i is not None else "")
 
