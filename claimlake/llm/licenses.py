@@ -57,7 +57,9 @@ RULES = (
     ("BSD", ("bsd-redistribute",)),
 )
 SENTENCE_END = r"(?<=[.!?])[\x09-\x0D\x20]+|[\x0A\x0D]+"
-OUTER = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+\z"
+MARKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+#: Marks at either end; a long run of marks within is looked at once, not from each of its characters.
+OUTER = rf"^{MARKS}++|(?<!{MARKS}){MARKS}++\z"
 
 
 def normalised(sentence: Column) -> Column:

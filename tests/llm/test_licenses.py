@@ -13,6 +13,7 @@ CASES = {
     6: ("All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted", "BSD", 1),
     7: ("All rights reserved.", "", 0),
     8: (None, "", 0), 9: ("", "", 0), 10: ("x " * 100_000 + "\nThis work is licensed under the GNU General Public License, version 3.", "GPL-3.0", 1),
+    12: ("%" * 300_000 + "x" + "#" * 300_000 + "y\n*** Released under the MIT License ***", "MIT", 1),
     11: ("Not released under the MIT License.", "", 0),
 }
 
