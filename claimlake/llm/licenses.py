@@ -1,22 +1,27 @@
 """License scan: sentences are recognised first, then sequences of recognised sentences.
 
-A text is cut into sentences at line ends and after ``.``, ``!`` or ``?`` before white space. A sentence is
-normalised (comment signs and outer marks go, ASCII lower case, runs of white space become one blank) and
-looked up among known licence sentences; what is known becomes an identifier, the rest a gap. The
-identifiers of a document, in order, are then matched against licence rules: sequences of identifiers, tried
+A text is cut into pieces at line ends and after ``.``, ``!`` or ``?`` before white space. A known licence sentence
+is found in one piece, or in pieces that follow each other, as of wrapped lines: comment signs (the marks of ``SIGNS``
+around a line) go, and pieces are joined by a blank; lines without text, with or without comment signs, do not part
+them. A sentence has to fill its pieces. It is normalised (outer marks go, ASCII lower case, runs of white space become
+one blank) and has to equal the known one; longer ones are tried first. What is known becomes an identifier, the rest a
+gap. The identifiers of a document, in order, are then matched against licence rules: sequences of identifiers, tried
 in the given order (longer ones first by convention); a rule matches where its identifiers follow each other
 directly, without a gap, and a sentence counts for the first rule that takes it.
 
-Everything is built of Spark expressions. Sentence table and rules are parameters held by the program, thus small. One
-document's identifiers come together in one row, never longer than its text. No rows are lost or capped.
+Everything is built of Spark expressions. Sentence table and rules are parameters held by the program, thus small. Only
+texts that hold the longest word of a known sentence are cut, and only pieces that are part of a known sentence
+go on. One document's pieces come together in one row, never longer than its text and its places. No rows are lost or capped.
 
 Defined results: null and empty texts, and texts without known sentences, get no row in the matches and an
 empty list in the report. Rows are judged one by one (by id and a hash of the text; equal rows count once in
-the matches, each in the report). Other columns are not read.
+the matches, each in the report). Other columns are not read. A match's place is the number of its first piece.
+Sentences with a changeable name in them (``Foo is free software: ...``) and words hyphenated at a line end are not known.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,29 +29,58 @@ from pyspark.sql import functions as F
 
 from claimlake.llm.common import ascii_lower
 
-# Opening sentences of public licences, normalised, and their identifiers.
+_MIT = (
+    'permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "software"), '
+    "to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the software, and to permit persons to whom the software is furnished to do so, subject to the following conditions"
+)
+_APACHE = 'under the apache license, version 2.0 (the "license"); you may not use this file except in compliance with the license'
+_COPY = "you may obtain a copy of the license at"
+_GPL = "this program is free software{} you can redistribute it and/or modify it under the terms of the gnu general public license"
+_GPL_NOTICE = _GPL + " as published by the free software foundation{} either version {} of the license, or (at your option) any later version"
+_BSD = "redistribution and use in source and binary forms, with or without modification, are permitted"
+_BSD_CLAUSE = _BSD + " provided that the following conditions are met"
+_BSD_FIRST = "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"
+
+# Sentences of public licences, normalised, and their identifiers. Where a sentence goes on after a colon
+# in the same line, so does one of its forms here. Short forms are notices of their own.
 SENTENCES = {
     "released under the mit license": "mit-name",
     "licensed under the mit license": "mit-name",
+    _MIT: "mit-grant",
+    _MIT + ": the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-grant",
+    _MIT + ": the above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or substantial portions of the software": "mit-grant",
     "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": "mit-grant",
     "licensed under the apache license, version 2.0": "apache2-name",
+    "licensed " + _APACHE: "apache2-notice",
+    "the asf licenses this file to you " + _APACHE: "apache2-notice",
     "you may not use this file except in compliance with the license": "apache2-compliance",
-    "you may obtain a copy of the license at": "apache2-copy",
+    _COPY: "apache2-copy",
+    _COPY + " http://www.apache.org/licenses/license-2.0": "apache2-copy",
+    _COPY + " https://www.apache.org/licenses/license-2.0": "apache2-copy",
     "this work is licensed under the gnu general public license, version 3": "gpl3-name",
-    "this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license": "gpl-redistribute",
+    **{_GPL.format(sign): "gpl-redistribute" for sign in ":;"},
+    **{_GPL_NOTICE.format(first, second, version): "gpl-redistribute" for first in ":;" for second in ",;" for version in (2, 3)},
+    **{(_GPL + " as published by the free software foundation{} version {} of the license").format(first, second, version): "gpl-redistribute"
+       for first in ":;" for second in (",", ";") for version in (2, 3)},
     "licensed under cc by 4.0": "ccby4-name",
     "licensed under cc by-nc 4.0": "ccbync4-name",
     "licensed under cc by-sa 4.0": "ccbysa4-name",
-    "redistribution and use in source and binary forms, with or without modification, are permitted": "bsd-redistribute",
+    _BSD: "bsd-redistribute",
+    _BSD_CLAUSE: "bsd-redistribute",
+    **{f"{_BSD_CLAUSE}: {sign}": "bsd-redistribute" for sign in ("1", "(1", "a", "(a")},
+    **{f"{_BSD_CLAUSE}: {sign}{_BSD_FIRST}": "bsd-redistribute" for sign in ("", "* ", "- ", "1) ", "(1) ", "a) ", "(a) ")},
     "all rights reserved": "rights-reserved",
 }
 #: Rules in the order in which they are tried.
 RULES = (
     ("Apache-2.0", ("apache2-name", "apache2-compliance", "apache2-copy")),
     ("Apache-2.0", ("apache2-name", "apache2-compliance")),
+    ("Apache-2.0", ("apache2-notice", "apache2-copy")),
     ("MIT", ("mit-name", "mit-grant")),
     ("BSD", ("rights-reserved", "bsd-redistribute")),
     ("Apache-2.0", ("apache2-name",)),
+    ("Apache-2.0", ("apache2-notice",)),
     ("MIT", ("mit-name",)),
     ("MIT", ("mit-grant",)),
     ("GPL-3.0", ("gpl3-name",)),
@@ -60,6 +94,12 @@ SENTENCE_END = r"(?<=[.!?])[\x09-\x0D\x20]+|[\x0A\x0D]+"
 MARKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Marks at either end; a long run of marks within is looked at once, not from each of its characters.
 OUTER = rf"^{MARKS}++|(?<!{MARKS}){MARKS}++\z"
+#: Comment signs at the start and at the end of a line.
+SIGNS, SIGNS_AFTER = r"[\x09-\x0D\x20!#%*/;<>|-]", r"[\x09-\x0D\x20#%*/>|-]"
+COMMENT = rf"^{SIGNS}++|(?<!{SIGNS_AFTER}){SIGNS_AFTER}++\z"
+#: Where words of a sentence part: a blank, or line ends in the text of a document's pieces.
+GAP = r"(?: |\n\d+:)++"
+MARKS_IN_LINE = MARKS.replace(r"\x00-", r"\x00-\x09\x0B-")
 
 
 def normalised(sentence: Column) -> Column:
@@ -67,35 +107,52 @@ def normalised(sentence: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(ascii_lower(sentence), OUTER, ""), r"[\x09-\x0D\x20]+", " ")
 
 
-def known_sentences(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text_hash, place, sentence_id`` of every known sentence."""
-    table = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    cut = docs.select(
+def longest_words(sentences: Mapping[str, str]) -> str:
+    """A pattern that every text with one of the sentences matches, however its lines are wrapped."""
+    words = {max(re.split(MARKS, s), key=lambda w: (len(w), w)) for s in sentences}
+    return "(?i)" + "|".join(rf"\Q{w}\E" for w in sorted(words))
+
+
+def pieces(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, text_hash, place, line`` of every piece that may be part of a known sentence; ``line`` is without comment signs."""
+    asked = docs.where(F.col(text_col).rlike(longest_words(sentences)))
+    cut = asked.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(F.col(text_col), SENTENCE_END, -1)).alias("place", "sentence")
     )
-    return (
-        cut.select("id", "text_hash", "place", F.element_at(table, normalised(F.col("sentence"))).alias("sentence_id"))
-        .where(F.col("sentence_id").isNotNull())
-    )
+    part = cut.where(F.contains(F.lit("\n".join(sentences)), normalised(F.col("sentence"))))
+    line = F.regexp_replace(F.regexp_replace(ascii_lower(F.col("sentence")), COMMENT, ""), r"[\x09-\x0D\x20]+", " ")
+    return part.select("id", "text_hash", "place", line.alias("line"))
+
+
+def known_sentences(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, text_hash, rest``: the identifiers of a document as one text, "<place>:<id> ", and signs "|" for gaps."""
+    found = pieces(docs, sentences, id_col, text_col).distinct()
+    runs = found.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("found"))
+    # The pieces as lines "<place>:<line>", and a gap sign where places are not neighbours.
+    text = F.array_join(
+        F.transform("found", lambda x, i: F.concat(
+            F.when((i > 0) & (x["place"] != F.element_at("found", F.greatest(i, F.lit(1)))["place"] + 1), F.lit("|\n")).otherwise(F.lit("")),
+            x["place"].cast("string"), F.lit(":"), x["line"])), "\n")
+    frame = runs.select("id", "text_hash", text.alias("rest"))
+    for sentence in sorted(sentences, key=lambda s: (-len(s), s)):
+        words = GAP.join(rf"\Q{w}\E" for w in sentence.split(" "))
+        name = sentences[sentence].replace("\\", "\\\\").replace("$", "\\$")
+        frame = frame.select("id", "text_hash", F.regexp_replace("rest", rf"(?<![^\n])(\d++):{MARKS_IN_LINE}*+{words}{MARKS_IN_LINE}*+(?![^\n])", f"$1={name}").alias("rest"))
+    lines = F.transform(F.split("rest", "\n", -1), lambda x: F.when(x.rlike(r"^\d+="), F.regexp_replace(x, r"^(\d+)=", "$1:")).otherwise(F.lit("|")))
+    return frame.select("id", "text_hash", F.array_join(lines, " ").alias("rest"))
 
 
 def license_matches(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Sequence = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, text_hash, license, place, sentences``: a row per match, ``place`` being its first sentence's number."""
-    found = known_sentences(docs, sentences, id_col, text_col).distinct()
-    runs = found.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("place", "sentence_id"))).alias("found"))
-    # The identifiers as one text, "<place>:<id> ", and a gap sign where places are not neighbours.
-    joined = F.array_join(
-        F.transform("found", lambda x, i: F.concat(
-            F.when((i > 0) & (x["place"] != F.element_at("found", F.greatest(i, F.lit(1)))["place"] + 1), F.lit("| ")).otherwise(F.lit("")),
-            x["place"].cast("string"), F.lit(":"), x["sentence_id"])), " ")
-    frame = runs.select("id", "text_hash", joined.alias("rest"), F.array().cast("array<struct<license:string,place:int,sentences:int>>").alias("matches"))
+    frame = known_sentences(docs, sentences, id_col, text_col).select("id", "text_hash", "rest", F.array().cast("array<struct<license:string,place:int,sentences:int>>").alias("matches"))
     for name, ids in rules:
         pattern = " ".join(rf"(\d+):{i}" if k == 0 else rf"\d+:{i}" for k, i in enumerate(ids))
         pattern = rf"(?<![^ ]){pattern}(?![^ ])"
         places = F.regexp_extract_all("rest", F.lit(pattern), F.lit(1))
         matches = _matches(places, name, len(ids))
         frame = frame.select("id", "text_hash", F.regexp_replace("rest", pattern, "|").alias("rest"), F.concat("matches", matches).alias("matches"))
-    return frame.select("id", "text_hash", F.explode("matches").alias("m")).select("id", "text_hash", "m.*")
+    # An inner explode's filter on sizes would be pushed down and evaluate the whole chain once per rule.
+    return frame.select("id", "text_hash", F.explode_outer("matches").alias("m")).where("m is not null").select("id", "text_hash", "m.*")
 
 
 def _matches(places: Column, name: str, sentences: int) -> Column:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 import pytest
 
 from claimlake.llm.licenses import license_matches, license_report
@@ -33,3 +35,58 @@ def test_report(docs):
 def test_matches_name_their_place_and_longest_rule(docs):
     found = {(r.id, r.license, r.place, r.sentences) for r in license_matches(docs).collect()}
     assert {(2, "Apache-2.0", 0, 3), (3, "Apache-2.0", 0, 1), (4, "CC-BY-NC-4.0", 0, 1), (4, "MIT", 1, 1), (6, "BSD", 0, 2), (10, "GPL-3.0", 1, 1)} <= found
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+NOTICES = {"MIT": MIT, "BSD": BSD, "GPL": GPL.format(":", ",", 3), "GPL ": GPL.format(";", ";", 2), "Apache-2.0": APACHE}
+#: As it is, paragraphs in a line each, all in one line, other wraps, in comments.
+FORMS = (
+    lambda t: t,
+    lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+    lambda t: " ".join(t.split()),
+    lambda t: "\r\n".join(t.split()),
+    lambda t: "Copyright (c) 2020 A\n" + "\n".join(textwrap.wrap(t, 40)) + "\nand on",
+    lambda t: "\n".join(f"# {line}".rstrip() for line in t.split("\n")),
+    lambda t: "\n".join(f"// {line}".rstrip() for line in t.split("\n")),
+    lambda t: "/*\n" + "\n".join(f" * {line}" for line in t.split("\n")) + "\n */",
+    lambda t: "\n".join(f"# {line:<90} #" for line in t.split("\n")),
+    lambda t: '"""' + t + '"""',
+)
+
+
+def test_whole_notices_wrapped_and_unwrapped(spark):
+    cases = [(f"{name}{k}", form(text), name.strip()) for name, text in NOTICES.items() for k, form in enumerate(FORMS)]
+    found = license_report(spark.createDataFrame([c[:2] for c in cases], "doc_id string, text string"))
+    assert {r.doc_id: (r.licenses, r.n_matches) for r in found.collect()} == {name: (want, 1) for name, _, want in cases}
+
+
+def test_parts_of_sentences_are_no_match(spark):
+    texts = ["Not released under\nthe MIT License.", "Released under.\nthe MIT License", "Released under\nthe other\nMIT License", "Licensed under\nthe"]
+    found = license_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {(r.licenses, r.n_matches) for r in found.collect()} == {("", 0)}
