@@ -305,13 +305,18 @@ class NearDuplicates:
         return linked.distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id_col``, ``text_hash``, ``n_shingles``, ``component_id`` (the smallest id reachable) and ``kept``."""
+def rooted(docs: DataFrame, size: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, text_hash, n_shingles, node, root`` of every row; equal roots make a component, and empty sets have none."""
     ship(docs.sparkSession)
     run = NearDuplicates(docs, size, percent, bands, rows, id_col, text_col)
     roots = run.find()
-    rows_ = run.signed.select("id", "text_hash", "n_shingles", "node").join(roots, "node", "left")
-    rows_ = rows_.withColumn("root", F.coalesce("root", "node"))
+    found = run.signed.select("id", "text_hash", "n_shingles", "node").join(roots.withColumnRenamed("root", "linked"), "node", "left")
+    return found.select("id", "text_hash", "n_shingles", "node", F.coalesce("linked", "node").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: ``id_col``, ``text_hash``, ``n_shingles``, ``component_id`` (the smallest id reachable) and ``kept``."""
+    rows_ = rooted(docs, size, percent, bands, rows, id_col, text_col)
     smallest = rows_.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     return rows_.join(smallest, "root", "left").select(
         F.col("id").alias(id_col), "text_hash", "n_shingles",
@@ -319,12 +324,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     ).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; all columns stay.
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", repeats: bool = True) -> DataFrame:
+    """``docs`` with the rows of the smallest id of each component; all columns stay.
 
-    Of rows that share that id, the text with the smallest hash stays, and of equal texts one row.
+    With ``repeats`` every row that has this id stays, and every row of a component without any id. Without, one row
+    of each component stays: of the smallest id's texts (a null id is the largest) the one with the smallest hash, and any one
+    of its equal rows. Rows without words are in no component and stay.
     """
-    found = near_duplicates(docs, size, percent, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
-    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left_anti").select("row.*")
+
+    def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.col("id").alias("key_id"), F.col("text_hash").alias("key_hash"))
+        return rows.join(keys, F.col("id").eqNullSafe(F.col("key_id")) & (F.col("text_hash") == F.col("key_hash")), how)
+
+    if repeats:
+        found = near_duplicates(docs, size, percent, id_col=id_col, text_col=text_col)
+        gone = found.where(~F.col("kept")).select(F.col(id_col).alias("id"), "text_hash").distinct()
+        return matching(rows, gone, "left_anti").select("row.*")
+    texts = rooted(docs, size, percent, BANDS, ROWS, id_col, text_col).where("root is not null")
+    texts = texts.groupBy("root", "id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = texts.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"))
+    judged = texts.join(first, "root").select("id", "text_hash", "n", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("stays"))
+    marked = stored(judged.where("not stays or n > 1").select("id", "text_hash", "stays"), "marked")
+    kept = matching(rows, marked, "left_anti")
+    twice = marked.where("stays")
+    if not twice.isEmpty():
+        kept = kept.unionByName(matching(rows, twice, "left_semi").dropDuplicates(["id", "text_hash"]))
+    return kept.select("row.*")

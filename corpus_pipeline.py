@@ -23,8 +23,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five words a shingle, similarity 0.8."""
-    return minhash_dedup.without_near_duplicates(docs, size=5, percent=80)
+    """Five words a shingle, similarity 0.8; one row of each group, also where ids repeat or are null."""
+    return minhash_dedup.without_near_duplicates(docs, size=5, percent=80, repeats=False)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from claimlake.llm import embedding_dedup, minhash_dedup
 from claimlake.llm.components import components
 from claimlake.llm.embedding_dedup import Coder, may_link, near_vectors
@@ -104,6 +105,24 @@ def test_minhash_edges(edge_docs, edge_rows, no_docs, rows_of):
     assert without_near_duplicates(no_docs).collect() == []
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, edge_docs, no_docs):
+    """Equal rows, near copies under one id, groups with some and with only null ids; rows without words stay."""
+    base = [f"w{k}" for k in range(60)]
+    near = [" ".join([*base[:59], f"x{k}"]) for k in range(3)]
+    rows = [(7, near[0]), (7, near[0]), (7, near[1]), (8, near[2]), (None, near[2]), (None, "a b c d e f"), (None, "a b c d e f"), (None, "A b c  d e f"),
+            (5, "lone words only here now"), (None, None), (None, None), (6, ""), (6, "")]
+    docs = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, other map<string,int>")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.schema == docs.schema
+    got = [(r.doc_id, shingles(r.text, 5)) for r in got.collect()]
+    assert len(got) == 7 and sorted(repr(i) for i, s in got if not s) == ["6", "6", "None", "None"]
+    assert sorted(map(repr, (i for i, s in got if s))) == ["5", "7", "None"] and (None, shingles("a b c d e f", 5)) in got
+    kept = without_near_duplicates(edge_docs, 2, 80, repeats=False)
+    assert kept.schema == edge_docs.schema
+    assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(map(repr, [1, 2, 3, 4, 5, 6, 7, 9, 10, None, None]))
+    assert corpus_pipeline.drop_near_duplicates(spark, no_docs, "").collect() == []
+
+
 def vector_rows():
     random = np.random.default_rng(4)
     rows, n = [], 0
