@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from claimlake.llm import mixing
+from claimlake.llm.mixing import BLOCK, MASK, Permutation, Shards, Source, mix_report, mix_texts, n_words, targets
+from claimlake.llm.queries import op11_source_mix
+
+SF = "/root/testdata/sf0.01"
+
+
+def waterfilled(sizes, weights):
+    """The level at which targets add up to all sizes, by bisection."""
+    low, high = 0.0, float(3 * sum(sizes) + 1)
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(min(3 * s, w * level) for s, w in zip(sizes, weights)) < sum(sizes):
+            low = level
+        else:
+            high = level
+    return [min(3 * s, w * low) for s, w in zip(sizes, weights)]
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 1000, 1, 7, 0, 3], [0, 0], [5], [10**12, 3, 10**9, 77, 10**6]])
+def test_targets(sizes):
+    weights = [(5, 2, 1)[k % 3] for k in range(len(sizes))]
+    assert targets(sizes, weights) == pytest.approx(waterfilled(sizes, weights), rel=1e-9, abs=1e-9)
+
+
+def slow_permutation(n, key):
+    """Number by number, without numpy."""
+    half = max(1, -(-max(n - 1, 1).bit_length() // 2))
+
+    def once(x):
+        left, right = x >> half, x & ((1 << half) - 1)
+        for k in range(4):
+            m = (right + ((key * 4 + k) * 0x9E3779B97F4A7C15 & MASK)) * 0xBF58476D1CE4E5B9 & MASK
+            m = (m ^ (m >> 29)) * 0x94D049BB133111EB & MASK
+            left, right = right, left ^ ((m ^ (m >> 32)) & ((1 << half) - 1))
+        return left << half | right
+
+    out = []
+    for x in range(n):
+        y = once(x)
+        while y >= n:
+            y = once(y)
+        out.append(y)
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 64, 65, 1000])
+def test_permutation(n):
+    p = Permutation(n, 12345)
+    values = p(np.arange(n))
+    assert values.tolist() == slow_permutation(n, 12345) and sorted(values.tolist()) == list(range(n))
+    assert [p.place(int(v)) for v in values[:20]] == list(range(min(n, 20)))
+
+
+def test_slots_meet_targets():
+    random = np.random.default_rng(1)
+    sources = [Source.aimed(k, 1000 * k, int(s), float(s) * t) for k, (s, t) in enumerate(zip(random.integers(1, 300_000, 12), random.uniform(0, 3, 12)))]
+    sources.append(Source.aimed(12, 5, 256 * 9, 3 * 256 * 9.0))
+    shards = Shards(sources)
+    rows = [r for k in range(shards.shards) for r in shards.slots(k).to_pylist()]
+    words = Counter()
+    for r in rows:
+        words[r["no"]] += r["words"]
+    assert [words[s.no] for s in sources] == [int(s.target) for s in sources]
+    assert max(Counter((r["no"], r["pass"], r["block"]) for r in rows).values()) == 1
+    assert {(r["shard"], r["slot"]) for r in rows} == {(k // mixing.SHARD, k % mixing.SHARD) for k in range(len(rows))}
+    per_shard = Counter((r["shard"], r["no"]) for r in rows)
+    big = max(sources, key=lambda s: s.slots)
+    counts = [per_shard[k, big.no] for k in range(shards.shards - 1)]
+    share = big.slots / len(rows)
+    assert max(abs(c - share * mixing.SHARD) for c in counts) < 6 * (share * (1 - share) * mixing.SHARD) ** 0.5 and len(set(counts)) > 1
+
+
+def test_large_halves_are_split_in_proportion():
+    total = 10**9 * 1024
+    half = mixing._halved(0, 10**9, (total // 4, total - total // 4))
+    assert sum(half) == total // 2 and half[0] == total // 8
+
+
+def slow_mix(docs):
+    """``doc_id, size, source_size, target, taken`` by listing every word of every source."""
+    by_source: dict = {}
+    for i, text, source in docs:
+        by_source.setdefault(source, []).append((i, (text or "").encode().split()))
+    order = sorted(by_source, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(len(w) for _, w in by_source[s]) for s in order]
+    aims = targets(sizes, [(5, 2, 1)[k % 3] for k in range(len(order))])
+    return order, sizes, aims, by_source
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "text", "source", F.xxhash64("source").alias("key")).collect()
+    order, sizes, aims, by_source = slow_mix([(r.doc_id, r.text, r.source) for r in rows])
+    keys = {r.source: (r.key & MASK) >> 3 for r in rows}
+    want = {}
+    for source, size, target in zip(order, sizes, aims):
+        stream = [i for i, words in sorted(by_source[source], key=lambda d: d[0]) for _ in words]
+        blocks = [stream[k : k + BLOCK] for k in range(0, size, BLOCK)]
+        taken, left, turn = Counter(), int(target), 0
+        while left:
+            for b in slow_permutation(len(blocks), keys[source] + turn):
+                taken.update(blocks[b][:left])
+                left -= min(left, len(blocks[b]))
+            turn += 1
+        want |= {i: (i, len(words), size, target, taken[i]) for i, words in by_source[source]}
+    got = [tuple(r) for r in op11_source_mix(spark, SF).select("doc_id", "size", "source_size", "target", "taken").collect()]
+    assert len(got) == len(rows) and {r[0]: r for r in got} == want
+    assert all(r[4] <= 3 * r[1] for r in got)
+    again = mix_report(docs.repartition(13, "n_chars").drop("lang"))
+    assert sorted(tuple(r) for r in again.collect()) == sorted(got)
+
+
+def test_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 300")
+    mix = mix_texts(docs).collect()
+    report = mix_report(docs).collect()
+    assert all(len(r.text.split()) == r.words for r in mix)
+    taken, words = Counter(), Counter()
+    by_source = {r.doc_id: r.source for r in docs.collect()}
+    for r in report:
+        taken[by_source[r.doc_id]] += r.taken
+    for r in mix:
+        words[r.source] += r.words
+    assert words == +taken
+    # Every word of the mix is a word of its source, as often as passes allow.
+    have = {}
+    for r in docs.collect():
+        have.setdefault(r.source, Counter()).update((r.text or "").split())
+    got = {}
+    for r in mix:
+        got.setdefault(r.source, Counter()).update(r.text.split())
+    assert all(n <= 3 * have[s][w] for s, c in got.items() for w, n in c.items())
+
+
+def test_edges(spark, edge_docs, edge_rows, no_docs):
+    got = mix_report(edge_docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r["size"]) for r in got) == sorted(
+        (i is None, i or 0, n_words(t.encode() if t else None)) for i, t, *_ in edge_rows)
+    assert all(0 <= r.taken <= 3 * r["size"] for r in got)
+    _, sizes, aims, _ = slow_mix([(i, t, s) for i, t, _, s, _ in edge_rows])
+    assert {(r.source_size, r.target) for r in got} <= set(zip(sizes, aims))
+    by_target = Counter()
+    for r in got:
+        by_target[r.source_size, r.target] += r.taken
+    assert {k: v for k, v in by_target.items()} == {(s, a): int(a) for s, a in zip(sizes, aims)}
+    assert mix_report(no_docs).collect() == [] and mix_texts(no_docs).collect() == []
+    assert sum(r.words for r in mix_texts(edge_docs).collect()) == sum(by_target.values())
+    assert n_words(" \t\n\x0b\x0c\r a b ".encode()) == 1 and n_words("\x1c \x85".encode()) == 2
+
+
+def test_too_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES", 2)
+    with pytest.raises(ValueError, match="sources"):
+        mix_report(spark.range(3).select("id", F.col("id").cast("string").alias("source"), F.lit("a b").alias("text")), id_col="id")
