@@ -1,4 +1,4 @@
-"""The queries that SQL can express, for DuckDB. Missing are op2, op5 and op8 (models; see tests/llm)."""
+"""The queries that SQL can express, for DuckDB. Missing are op2, op5, op8 (models) and op11 (random draws); see tests/llm."""
 
 from __future__ import annotations
 
@@ -104,4 +104,58 @@ items AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_collocations": rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {LOWER}), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f FROM places, range(1, 6) AS t(k) WHERE i + k - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+parts AS (
+  SELECT lang, g, f, k, unnest(range(1, k)) AS j, string_split(g, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, t.n, j, (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS tail FROM parts) c
+  JOIN counts x ON x.lang = c.lang AND x.g = head JOIN counts y ON y.lang = c.lang AND y.g = tail JOIN totals t ON t.lang = c.lang),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(f) AS longer FROM (SELECT lang, f, k, string_split(g, ' ') AS w FROM counts), range(2, 5) AS s(m), range(1, 5) AS q(i)
+  WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT v.* FROM least v LEFT JOIN inner_parts p ON p.lang = v.lang AND p.g = v.g WHERE p.longer IS NULL OR 100 * p.longer < 100 * v.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000""",
+    "op13_spelling": rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, {LOWER}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+bytes AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs),
+crc AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM bytes, crc_table),
+vocabulary AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM crc GROUP BY 1 HAVING sum(n) >= 5 AND length(word) >= 6),
+less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM vocabulary)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, v.word FROM less l JOIN vocabulary v ON v.word = l.rest
+  UNION SELECT v.word, l.word FROM less l JOIN vocabulary v ON v.word = l.rest),
+near AS (
+  SELECT a AS word, b AS best, v.n AS best_n, count(*) OVER (PARTITION BY a) AS n_near FROM pairs JOIN vocabulary v ON v.word = b
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY v.n DESC, b) = 1),
+judged AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * v.n THEN best END AS form, CASE WHEN best_n >= 5 * v.n THEN best_n END AS form_n
+  FROM vocabulary v LEFT JOIN near USING (word)),
+followed AS (
+  SELECT word, word AS root FROM judged
+  UNION SELECT f.word, j.form FROM followed f JOIN judged j ON j.word = f.root WHERE j.form IS NOT NULL),
+ends AS (SELECT f.word, f.root FROM followed f JOIN judged j ON j.word = f.root WHERE j.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)""",
 }

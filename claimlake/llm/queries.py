@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.llm import (
-    decontaminate, embedding_dedup, licenses, line_dedup, minhash_dedup, pieces, quality, token_count, url_filter, warc,
+    collocations, decontaminate, embedding_dedup, licenses, line_dedup, minhash_dedup, mixing, pieces, quality, spelling, token_count,
+    url_filter, warc,
 )
 
 RULES = (
@@ -72,10 +73,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"), weights=(5, 2, 1))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), top=2000, min_count=100, percent=100)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_sentencepiece, op3_embedding_dedup, op4_minhash_dedup, op5_quality,
         op6_license_scan, op7_warc, op8_token_count, op9_line_dedup, op10_decontaminate,
+        op11_source_mix, op12_collocations, op13_spelling,
     )
 }
