@@ -29,11 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import LOWER, MASK, decimals, fields, matrix, per_tile, ship, stored
+from claimlake.llm.common import LOWER, decimals, fields, matrix, per_tile, ship, stored
 from claimlake.llm.components import components
 
-#: Bands, values in a band, seed; shingles permuted at once; bytes of a text hashed at once.
-BANDS, ROWS, SEED, CHUNK, BLOCK = 32, 5, 5, 512, 1 << 20
+#: Bands, values in a band, seed; shingles permuted at once; bytes of a text hashed at once; words whose hashes a worker keeps.
+BANDS, ROWS, SEED, CHUNK, BLOCK, WORDS = 32, 5, 5, 512, 1 << 20, 500_000
 #: Nodes in a tile's side, and what tells tiles apart.
 TILE, TILE_KEY = 512, ["largest", "chunk_a", "chunk_b"]
 #: Standard errors by which a pair's estimate may fall short before the pair is left out.
@@ -47,59 +47,34 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHasher:
-    """Hashes of all words of a text at once.
+class WordHashes(dict):
+    """64-bit hashes (xxh3) of words, A-Z in lower case. A worker keeps those of ``WORDS`` words."""
 
-    Each byte has a random number, weighed by a power of an odd base for its place. A running sum gives any
-    word's sum as a difference, and the inverse power of the place where the word starts makes it the same at
-    every place. Texts go in blocks that end between words.
-    """
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS:
+            self.clear()
+        self[word] = number = xxhash.xxh3_64_intdigest(word, seed=SEED)
+        return number
 
-    def __init__(self) -> None:
-        random = np.random.default_rng(SEED)
-        numbers = random.integers(1, 1 << 64, 256, np.uint64, endpoint=False)
-        self.numbers = numbers[np.frombuffer(LOWER, np.uint8)]
-        self.blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-        self.base = int(random.integers(1 << 62, 1 << 63)) | 1
-        self.powers = self.inverse = np.ones(0, np.uint64)
-
-    def _reach(self, n: int) -> None:
-        if n > len(self.powers):
-            size = 1 << max(14, (n - 1).bit_length())
-            for name, base in (("powers", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
-                row = np.full(size, base & MASK, np.uint64)
-                row[0] = 1
-                setattr(self, name, np.cumprod(row))
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        if len(text) <= BLOCK:
-            return self._block(np.frombuffer(text, np.uint8))
+    def of(self, text: bytes) -> np.ndarray:
+        """A number for every word of a text. Texts go in blocks that end between words."""
         out, at = [], 0
         while at < len(text):
             end = at + BLOCK
-            while end < len(text) and not self.blank[text[end]]:
+            while end < len(text) and text[end] > 0x20:
                 end += 1
-            out.append(self._block(np.frombuffer(text, np.uint8, min(end, len(text)) - at, at)))
+            words = text[at:end].translate(LOWER).split()
+            out.append(np.fromiter(map(self.__getitem__, words), np.uint64, len(words)))
             at = end
         return np.concatenate(out)
 
-    def _block(self, data: np.ndarray) -> np.ndarray:
-        letters = np.zeros(len(data) + 2, np.int8)
-        letters[1:-1] = ~self.blank[data]
-        edges = np.flatnonzero(np.diff(letters))
-        starts, ends = edges[::2], edges[1::2]
-        self._reach(len(data))
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.numbers[data] * self.powers[: len(data)], out=sums[1:])
-        return _mixed((sums[ends] - sums[starts]) * self.inverse[starts])
-
 
-HASHER = WordHasher()
+HASHES = WordHashes()
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles of ``size`` words; of fewer words, the whole sequence is one."""
-    hashes = HASHER(text) if text else np.zeros(0, np.uint64)
+    hashes = HASHES.of(text) if text else np.zeros(0, np.uint64)
     if not len(hashes):
         return hashes
     k = min(size, len(hashes))

@@ -93,6 +93,18 @@ def test_minhash_with_few_bands_settles_open_buckets(spark, rows_of):
     assert rows_of(near_duplicates(docs, 2, 80, bands=40, rows=1).drop("text_hash")) == brute(rows, 2, 80)
 
 
+def test_minhash_tells_patterned_words_apart(spark, rows_of):
+    """Words whose sums of weighed bytes are equal for every odd base modulo 2^64 (Thue-Morse words and their complements)."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"{word} x y"), (4, f"{other} x y"), (5, word), (6, f"{other} X y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(near_duplicates(docs, 2, 80).drop("text_hash"))
+    assert got == brute(rows, 2, 80) and [r[2] for r in got] == [1, 2, 3, 4, 1, 4]
+
+
 def test_minhash_edges(edge_docs, edge_rows, no_docs, rows_of):
     short = [r[:2] for r in edge_rows if len(r[1] or "") < 1000]
     got = rows_of(near_duplicates(edge_docs, 2, 80).drop("text_hash"))
