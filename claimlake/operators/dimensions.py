@@ -126,12 +126,27 @@ def first_codes(df: DataFrame, code_col: str) -> DataFrame:
     return codes
 
 
-def dim_date(claims: DataFrame, date_col: str = "admission_date") -> DataFrame:
+#: First and last day that a calendar may have.
+CALENDAR = ("1900-01-01", "2199-12-31")
+
+
+def in_calendar(first: str, last: str, date_col: str) -> Column:
+    return col(date_col).cast("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
+def outside_calendar(claims: DataFrame, first: str = CALENDAR[0], last: str = CALENDAR[1], date_col: str = "admission_date") -> DataFrame:
+    """Claims whose date is no day of the calendar; those without a date are not among them."""
+    return claims.filter(~in_calendar(first, last, date_col))
+
+
+def dim_date(claims: DataFrame, first: str = CALENDAR[0], last: str = CALENDAR[1], date_col: str = "admission_date") -> DataFrame:
     """One row per day from the first to the last date of the claims, with calendar attributes.
 
-    Minimum and maximum stay in the plan: one aggregate row is exploded into days. No dates, no rows.
+    Dates outside ``first`` and ``last`` do not count, so one mistyped year does not add millions of days, and the
+    days come from one array of bounded length. Minimum and maximum stay in the plan: one
+    aggregate row is exploded into days. No dates, no rows.
     """
-    bounds = claims.agg(
+    bounds = claims.filter(in_calendar(first, last, date_col)).agg(
         F.min(col(date_col)).cast("date").alias("first"), F.max(col(date_col)).cast("date").alias("last")
     )
     days = bounds.filter(F.col("first").isNotNull()).select(

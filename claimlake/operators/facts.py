@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimlake.functions.columns import MONEY_TYPE, date_key, rx_flag, stable_key, year_month
 from claimlake.functions.naming import col, existing, find_column, rename_existing, upper_names
 from claimlake.operators.frames import duplicate_groups, select_existing
-from claimlake.operators.joins import DEFAULT_LIMITS, JoinLimits, Size, star_join
+from claimlake.operators.joins import DEFAULT_LIMITS, SALT, JoinLimits, Size, star_join
 from claimlake.operators.standardize import COUNT_COLUMNS, MONEY_COLUMNS, impute_with_flag
 
 # Names the fact is built from.
@@ -139,20 +139,21 @@ def mart_plan_month(fact: DataFrame) -> DataFrame:
 
 def wide_claims(
     fact: DataFrame, dims: Mapping[str, DataFrame], limits: JoinLimits = DEFAULT_LIMITS,
-    sizes: Mapping[str, Size] | None = None,
+    sizes: Mapping[str, Size] | None = None, clustered: str | None = None,
 ) -> DataFrame:
     """The fact with all dimensions' attributes, 44 upper-case columns, one row per fact row.
 
     ``dims`` maps key columns to dimensions, ``sizes`` to what is known of their size. Rows without a
     match keep nulls; a null business id matches the dimension row whose id is null. Columns that the
-    fact or a dimension lacks, and those of an absent dimension, are null text.
+    fact or a dimension lacks, and those of an absent dimension, are null text. The fact and the dimension of key
+    ``clustered`` are stored in the same buckets, see :mod:`claimlake.operators.joins`.
     """
-    narrow = fact.select(*(_or_null(fact, c).alias(c) for c in WIDE_FACT))
+    narrow = fact.select(*(_or_null(fact, c).alias(c) for c in WIDE_FACT), *([SALT] if clustered else []))
     pairs = [
-        (key, dims[key].select(key, *(_or_null(dims[key], c).alias(f"{key}.{new}") for c, new in names.items())))
+        (key, dims[key].select(key, *([SALT] if key == clustered else []), *(_or_null(dims[key], c).alias(f"{key}.{new}") for c, new in names.items())))
         for key, names in WIDE_DIMS.items() if key in dims and find_column(fact, key)
     ]
-    joined = star_join(narrow, pairs, limits, sizes)
+    joined = star_join(narrow, pairs, limits, sizes, clustered)
     return upper_names(joined.select(
         *(col(c).alias(new) for c, new in WIDE_FACT.items()),
         *(_or_null(joined, f"{key}.{new}").alias(new) for key, names in WIDE_DIMS.items() for new in names.values()),

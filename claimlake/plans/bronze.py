@@ -61,13 +61,14 @@ def ingest_claims(store: TableStore, log: RunLog) -> None:
         store.record_batch(BRONZE, CLAIMS_TABLE, log.run.run_id, log.run.now(), counts.written)
 
 
-def ingest_lookup(store: TableStore, log: RunLog, spec: LookupSpec) -> None:
+def ingest_lookup(store: TableStore, log: RunLog, spec: LookupSpec, noted: list[tuple[str, int]]) -> None:
     cfg = store.config
     path = cfg.lookup_file(spec)
     with log.step(path, cfg.table(BRONZE, spec.table)) as counts:
         batch = stamp(read_lookup(store.spark, path, spec), log.run.run_id, "source_file", spec.file)
         counts.written = store.write(batch, BRONZE, spec.table, cfg.bronze_mode, ["run_id"])
         counts.read = counts.written
+        noted.append((spec.table, counts.written))
 
 
 def run_bronze(store: TableStore, run: RunContext | None = None) -> str:
@@ -79,8 +80,10 @@ def run_bronze(store: TableStore, run: RunContext | None = None) -> str:
         log.flush()
         ingest_claims(store, log)
         log.flush()
-        lookups = [partial(ingest_lookup, store, log, spec) for spec in store.config.lookups]
+        noted: list[tuple[str, int]] = []
+        lookups = [partial(ingest_lookup, store, log, spec, noted) for spec in store.config.lookups]
         together(store.spark, lookups, store.config.steps_at_once)
+        store.record_batches(BRONZE, run.run_id, run.now(), noted)  # in one append, as the lookups run side by side
     return run.run_id
 
 

@@ -65,12 +65,14 @@ def clean_claims(store: TableStore, log: RunLog, bronze_run_id: str) -> None:
 
 
 def clean_lookup(store: TableStore, log: RunLog, spec: LookupSpec, bronze_run_id: str) -> None:
-    """The lookup's latest batch, trimmed. Older batches would only repeat its rows."""
+    """The lookup's latest batch, trimmed. Older batches would only repeat its rows. Its id comes from the table of
+    batches; only a lookup without an entry there is searched for it."""
     cfg = store.config
     source = cfg.table(BRONZE, spec.table)
     with log.step(source, cfg.table(SILVER, spec.silver_table)) as counts:
         raw = store.read(BRONZE, spec.table)
-        latest = in_batch(raw, "run_id", choose_batch(raw, "run_id", "ingestion_timestamp"))
+        wanted = store.newest_batch(BRONZE, spec.table) or "latest"
+        latest = in_batch(raw, "run_id", choose_batch(raw, "run_id", "ingestion_timestamp", wanted))
         trimmed = stamp(standardize(latest, TRIM_ONLY), log.run.run_id, bronze_run_id)
         counts.written = store.overwrite(trimmed, SILVER, spec.silver_table)
         counts.read = counts.written

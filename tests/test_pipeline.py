@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimlake.config import BRONZE, GOLD, SILVER, LookupSpec, Namespace, PipelineConfig, RunContext
-from claimlake.operators.joins import JoinLimits
+from claimlake.operators.joins import SALT, Clustering, JoinLimits, cluster_together, star_join
 from claimlake.operators.standardize import may_be_rejected
 from claimlake.plans import audit, bronze, gold, silver
 from claimlake.plans.pipeline import run_pipeline
 from claimlake.sources.files import malformed_records, read_lookup, read_marked_csv, read_text_csv
-from claimlake.sources.store import TableStore
+from claimlake.sources.store import Buckets, TableStore
 from tests.oracle import connect, run_duckdb, run_spark
 from workload.oracles import ORACLES
 from workload.files import write_csv, write_input_files
@@ -497,3 +497,157 @@ def test_lookup_names_must_fit(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b\n1,2\n")
     with pytest.raises(ValueError, match="expected 1 columns"):
         read_lookup(spark, str(tmp_path / "a.csv"), LookupSpec("a", "a", "a.csv", ("only",)))
+
+
+def test_append_widens_types(spark, store):
+    """Ints, floats and decimals get wider and narrower again; the files and partitions that were there stay."""
+    rows = [
+        "select cast(1 as int) a, cast(1.25 as decimal(6,2)) d, cast(0.5 as float) f, 'r1' run_id",
+        "select 'r2' run_id, 5000000000 a, 0.1D f, 'new' b, cast(123456.1234 as decimal(10,4)) d",
+        "select cast(3 as smallint) a, cast(7 as decimal(3,0)) d, cast(2.5 as float) f, 'r1' run_id",
+    ]
+    for row in rows:
+        assert store.append(spark.sql(row), BRONZE, "t", ["run_id"]) == 1
+    table = store.read(BRONZE, "t")
+    assert dict(table.dtypes) == {"a": "bigint", "d": "decimal(10,4)", "f": "double", "b": "string", "run_id": "string"}
+    got = [(r.a, str(r.d), r.f, r.b, r.run_id) for r in table.orderBy("a").collect()]
+    assert got == [(1, "1.2500", 0.5, None, "r1"), (3, "7.0000", 2.5, None, "r1"), (5000000000, "123456.1234", 0.1, "new", "r2")]
+    assert table.filter("run_id = 'r1'").count() == 2
+    with pytest.raises(Exception):
+        store.append(spark.sql("select 'text' a, 'r3' run_id"), BRONZE, "t", ["run_id"])
+    assert store.read(BRONZE, "t").count() == 3
+
+
+def test_widening_survives_a_driver(spark, store, monkeypatch):
+    """The entry is dropped and not yet made anew: the next one that touches the table makes it, with its partitions."""
+    store.append(spark.sql("select 1 a, 'r1' run_id"), BRONZE, "t", ["run_id"])
+    copies, copy_entry = [], TableStore._copy_entry
+
+    def copy(self, table, to, schema):
+        copies.append(to)
+        if len(copies) == 2:
+            raise RuntimeError("lost")
+        copy_entry(self, table, to, schema)
+
+    monkeypatch.setattr(TableStore, "_copy_entry", copy)
+    with pytest.raises(RuntimeError):
+        store.append(spark.sql("select 5000000000 a, 'r2' run_id"), BRONZE, "t", ["run_id"])
+    monkeypatch.undo()
+    assert [tuple(r) for r in store.read(BRONZE, "t").collect()] == [(1, "r1")]
+    store.append(spark.sql("select 5000000000 a, 'r2' run_id"), BRONZE, "t", ["run_id"])
+    assert sorted(tuple(r) for r in store.read(BRONZE, "t").collect()) == [(1, "r1"), (5000000000, "r2")]
+
+
+@pytest.mark.parametrize("buckets", [None, Buckets(("k",), 3)])
+def test_partitions_are_replaced_alone(spark, store, buckets):
+    first = spark.sql("select id, concat('m', id % 4) m, cast(id % 7 as string) k from range(40)")
+    assert store.replace_partitions(first, GOLD, "t", ["m"], buckets) == 40
+    table = store.config.table(GOLD, "t")
+    before = store._folders(table, store._partitions(table))
+    second = spark.sql("select concat('m', id + 3) m, 'x' k, id + 100 id from range(2)")
+    assert store.replace_partitions(second, GOLD, "t", ["m"], buckets) == 2
+    after = store._folders(table, store._partitions(table))
+    assert {m for m in after if after[m] != before.get(m)} == {"m=m3", "m=m4"}
+    got = store.read(GOLD, "t")
+    assert sorted(r.id for r in got.collect()) == sorted([k for k in range(40) if k % 4 < 3] + [100, 101])
+    assert sorted(r.id for r in got.filter("m = 'm3'").collect()) == [100]
+    text = got.filter("m = 'm3'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(m#" in text and "m=m0" not in text
+    with pytest.raises(ValueError):
+        store.replace_partitions(second, GOLD, "t", ["k"])
+    wider = second.withColumn("id", F.col("id").cast("decimal(30,2)"))
+    with pytest.raises(TypeError):
+        store.replace_partitions(wider, GOLD, "t", ["m"], buckets)
+
+
+def month_rows(store, table):
+    return {r[gold.MONTH]: r["n"] for r in store.read(GOLD, table).groupBy(gold.MONTH).agg(F.count("*").alias("n")).collect()}
+
+
+def test_months_of_the_batch_are_replaced(spark, files, finished, tmp_path):
+    """A second file with a few months: fact, mart and wide table keep the others, the calendar stays whole."""
+    cfg = config(files, gold_mode="months")
+    run_pipeline(spark, cfg)
+    store = TableStore(spark, cfg)
+    plain = lambda t: run_spark(store.read(GOLD, t).drop("gold_run_id", "gold_processed_timestamp", gold.MONTH))
+    for table in ("fact_claims", "mart_plan_month", "bi_fact_claims_enriched", "dim_date"):
+        assert plain(table) == data(finished[0], table)
+    folders = {t: store._folders(store.config.table(GOLD, t), store._partitions(store.config.table(GOLD, t))) for t in ("fact_claims", "mart_plan_month")}
+    raw = raw_claims(spark, SF_DIR).filter("admission_date like '1995-03%' or admission_date like '1995-04%'")
+    write_csv(raw, str(tmp_path / "claims.csv"))
+    again = replace(cfg, claims_path=str(tmp_path / "claims.csv"))
+    run_pipeline(spark, again)
+    for table, old in folders.items():
+        new = store._folders(store.config.table(GOLD, table), store._partitions(store.config.table(GOLD, table)))
+        assert {m for m in new if new[m] != old.get(m)} == {f"{gold.MONTH}=1995-03", f"{gold.MONTH}=1995-04"}
+    assert plain("dim_date") == data(finished[0], "dim_date")
+    fact, before = month_rows(store, "fact_claims"), month_rows(store, "bi_fact_claims_enriched")
+    assert fact == before and 0 < fact["1995-03"] and set(fact) == set(p.split("=")[1] for p in folders["fact_claims"])
+    text = store.read(GOLD, "fact_claims").filter(F.col(gold.MONTH) == "1995-03")._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({gold.MONTH}#" in text
+
+
+def test_large_dimension_is_joined_in_buckets(spark, files, finished):
+    """Members too many to be broadcast lie in the fact's buckets: the fact is not moved, hot members are spread."""
+    cfg = config(files, cluster=Clustering("member_key", 8), limits=JoinLimits(broadcast_rows=100))
+    run_pipeline(spark, cfg)
+    store = TableStore(spark, cfg)
+    assert data(store, "bi_fact_claims_enriched") == data(finished[0], "bi_fact_claims_enriched")
+    small = config(files, cluster=Clustering("member_key", 8))
+    run_pipeline(spark, small)
+    assert SALT not in TableStore(spark, small).read(GOLD, "fact_claims").columns
+
+
+def test_clustered_join_moves_no_fact(spark, store):
+    fact = spark.sql("select sha2(if(id < 600, 'hot', cast(id as string)), 256) member_key, concat('c', id) claim_id, id from range(1000)")
+    dim = spark.sql("select sha2(if(id = 0, 'hot', cast(id as string)), 256) member_key, id as attribute from range(900)")
+    cluster = Clustering("member_key", 10)
+    salted, wide = cluster_together(fact, dim, cluster, 1000)
+    assert wide.count() == 905 and salted.select(SALT).distinct().count() == 6
+    assert salted.groupBy("member_key", SALT).count().agg(F.max("count")).first()[0] < 200
+    buckets = Buckets(("member_key", SALT), 10)
+    store.overwrite(salted, GOLD, "fact", buckets)
+    store.overwrite(wide, GOLD, "dim", buckets)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star_join(store.read(GOLD, "fact"), [("member_key", store.read(GOLD, "dim"))], clustered="member_key")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert text.count("Bucketed: true") == 2
+        got = joined.select("id", "attribute").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((r.id, r.attribute) for r in got if r.attribute is not None) == [(k, 0 if k < 600 else k) for k in range(900)]
+    assert len(got) == 1000
+    # Written again with other buckets, the entry has them.
+    store.overwrite(salted, GOLD, "fact", Buckets(("member_key",), 4))
+    assert store._buckets(store.config.table(GOLD, "fact")) == Buckets(("member_key",), 4)
+    store.overwrite(salted, GOLD, "fact")
+    assert store._buckets(store.config.table(GOLD, "fact")) is None and store.read(GOLD, "fact").count() == 1000
+
+
+def test_dates_outside_the_calendar_are_an_issue(spark, files, tmp_path):
+    claims = raw_claims(spark, SF_DIR).withColumn(
+        "admission_date", F.when(F.col("service_line_number") == "7", F.lit("9999-12-31")).otherwise(F.col("admission_date")))
+    write_csv(claims, str(tmp_path / "claims.csv"))
+    cfg = replace(config(files), claims_path=str(tmp_path / "claims.csv"))
+    run_pipeline(spark, cfg)
+    store = TableStore(spark, cfg)
+    issues = {r["issue_type"]: r["record_count"] for r in audit.recent_issues(store).collect()}
+    assert issues["DATE_OUT_OF_RANGE"] == store.read(SILVER, "claims_clean").filter("admission_date > '2199-12-31'").count() > 0
+    assert store.read(GOLD, "dim_date").count() < 5000
+
+
+def test_lookup_batches_are_chosen_without_reading_lookups(spark, files, finished, monkeypatch):
+    """A second raw run is chosen for every lookup, and none is searched for its newest batch."""
+    store, ids = finished
+    for spec in store.config.lookups:
+        assert store.newest_batch(BRONZE, spec.table) == ids.bronze
+
+    def searched(*_):
+        raise AssertionError("a table was searched for its newest batch")
+
+    monkeypatch.setattr("claimlake.operators.frames.latest_batch", searched)
+    cfg = config(files)
+    run_pipeline(spark, cfg)
+    assert data(TableStore(spark, cfg), "dim_plans") == data(store, "dim_plans")

@@ -348,6 +348,24 @@ ORACLES: dict[str, str] = {
     "widened_batches": """
       select s_suppkey as id, 'r1' as run_id, null as segment from supplier
       union all select c_custkey, 'r2', c_mktsegment from customer""",
+    "widened_types": """
+      select cast(l_orderkey as bigint) as id, cast(l_linenumber as int) as line, cast(cast(l_extendedprice as decimal(18,2)) as decimal(16,6)) as amount,
+        cast(l_partkey as double) as part, 'r1' as run_id from lineitem where l_linenumber <= 2
+      union all select l_orderkey + 5000000000, l_linenumber + 100000, cast(cast(l_extendedprice as decimal(18,2)) / 8 as decimal(16,6)),
+        l_partkey + cast(0.1 as double), 'r2' from lineitem where l_linenumber in (3, 4)
+      union all select l_orderkey, l_linenumber, cast(cast(cast(l_extendedprice as decimal(18,2)) as decimal(8,1)) as decimal(16,6)),
+        cast(l_partkey as double), 'r3' from lineitem where l_linenumber > 4""",
+    "wide_by_buckets": _sql("select * from wide", *_TO_FACT, _ALL_DIMS, _WIDE),
+    "mart_after_correction": _sql(
+        """select plan_key, strftime(admission_date, '%Y-%m') as year_month,
+          count(distinct claim_id) as claims_cnt,
+          cast(sum(line_allowed) as decimal(28,2)) as paid_amount,
+          cast(sum(line_charge + case when year(admission_date) = 1995 then 1 else 0 end) as decimal(28,2)) as billed_amount
+        from fact group by 1, 2""", *_TO_FACT),
+    "calendar_bounds": _sql(
+        """select date_diff('day', min(d), max(d)) + 1 as days, min(d) as first, max(d) as last,
+          (select count(*) from clean where service_line_number = '7') as outside
+        from (select admission_date as d from clean where service_line_number <> '7')""", *_TO_CLEAN),
     "unpadded_dates": """
       select o_orderkey, cast(o_orderdate as date) as service_date from orders""",
     "fact_by_line_id": _sql(

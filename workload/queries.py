@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlake.config import GOLD, Namespace, PipelineConfig
 from claimlake.functions import columns as C
 from claimlake.operators import dimensions as D
 from claimlake.functions.naming import normalize_headers
-from claimlake.operators import facts, frames, kpi
+from claimlake.operators import facts, frames, joins, kpi
 from claimlake.operators.standardize import TRIM_ONLY, reject_condition, split_rejects, standardize
-from claimlake.plans import audit
+from claimlake.plans import audit, gold
+from claimlake.sources.store import Buckets, TableStore
 from workload.source import AS_OF, lookup, raw_claims, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +45,14 @@ def _dim(spec: D.DimSpec) -> Query:
     return lambda spark, sf_dir: D.build_dim(lookup(spark, sf_dir, spec.source), spec)
 
 
+def scratch_store(spark: SparkSession) -> TableStore:
+    """A store with databases of its own in the session's warehouse."""
+    tag = uuid.uuid4().hex
+    store = TableStore(spark, PipelineConfig("", "", *(Namespace(layer, tag) for layer in ("bronze", "silver", "gold"))))
+    store.create_namespaces()
+    return store
+
+
 def scan_claims(spark, sf_dir):
     return raw_claims(spark, sf_dir)
 
@@ -254,10 +265,63 @@ def dq_issue_rows(spark, sf_dir):
 
 
 def widened_batches(spark, sf_dir):
-    """Two batches, the later one with a new column, read together by name."""
+    """Two batches appended to one table: the later one has a new column and another order."""
+    store = scratch_store(spark)
     first = table(spark, sf_dir, "supplier").selectExpr("s_suppkey as id", "'r1' as run_id")
     second = table(spark, sf_dir, "customer").selectExpr("'r2' as run_id", "c_custkey as id", "c_mktsegment as segment")
-    return first.unionByName(second, allowMissingColumns=True)
+    for batch in (first, second):
+        store.append(batch, GOLD, "batches_of_ids", ["run_id"])
+    return store.read(GOLD, "batches_of_ids").select("id", "run_id", "segment")
+
+
+def widened_types(spark, sf_dir):
+    """Three batches appended to one table: numbers get more digits, then fewer again."""
+    store = scratch_store(spark)
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_partkey", "l_linenumber", "cast(l_extendedprice as decimal(18,2)) as price")
+    first = lines.filter("l_linenumber <= 2").selectExpr(
+        "cast(l_orderkey as int) as id", "cast(l_linenumber as smallint) as line", "cast(price as decimal(10,2)) as amount", "cast(l_partkey as float) as part", "'r1' as run_id")
+    second = lines.filter("l_linenumber in (3, 4)").selectExpr(
+        "l_orderkey + 5000000000 as id", "cast(l_linenumber as int) + 100000 as line", "cast(price / 8 as decimal(16,6)) as amount", "l_partkey + 0.1D as part", "'r2' as run_id")
+    third = lines.filter("l_linenumber > 4").selectExpr(
+        "cast(price as decimal(8,1)) as amount", "cast(l_partkey as float) as part", "cast(l_linenumber as smallint) as line", "cast(l_orderkey as int) as id", "'r3' as run_id")
+    for batch in (first, second, third):
+        store.append(batch, GOLD, "batches_of_lines", ["run_id"])
+    return store.read(GOLD, "batches_of_lines")
+
+
+def wide_by_buckets(spark, sf_dir):
+    """The wide table where members are too many to be broadcast: they and the fact are stored in the same buckets."""
+    store, cluster = scratch_store(spark), joins.Clustering("member_key", 16)
+    by_key = dims(spark, sf_dir)
+    claims, members = joins.cluster_together(fact(spark, sf_dir), by_key[cluster.key], cluster, table(spark, sf_dir, "lineitem").count())
+    buckets = Buckets((cluster.key, joins.SALT), cluster.buckets)
+    store.overwrite(claims, GOLD, gold.FACT_TABLE, buckets)
+    store.overwrite(members, GOLD, D.MEMBERS.table, buckets)
+    by_key[cluster.key] = store.read(GOLD, D.MEMBERS.table)
+    return facts.wide_claims(store.read(GOLD, gold.FACT_TABLE), by_key, clustered=cluster.key)
+
+
+def mart_after_correction(spark, sf_dir):
+    """A second batch brings the claims of 1995 anew, with other amounts: its months are replaced, in the fact and in the mart."""
+    store = scratch_store(spark)
+    first = gold.with_month(fact(spark, sf_dir, "plan_id", "admission_date", *_AMOUNTS))
+    again = first.filter(F.year("admission_date") == 1995).withColumn("line_charge", (F.col("line_charge") + 1).cast(C.MONEY_TYPE))
+    for batch in (first, again):
+        store.replace_partitions(batch, GOLD, gold.FACT_TABLE, [gold.MONTH])
+        months = [r[0] for r in batch.select(gold.MONTH).distinct().collect()]
+        replaced = store.read(GOLD, gold.FACT_TABLE).filter(F.col(gold.MONTH).isin(months))
+        mart = facts.mart_plan_month(replaced).withColumn(gold.MONTH, F.coalesce("year_month", F.lit(gold.NO_MONTH)))
+        store.replace_partitions(mart, GOLD, gold.MART_TABLE, [gold.MONTH])
+    return store.read(GOLD, gold.MART_TABLE).drop(gold.MONTH)
+
+
+def calendar_bounds(spark, sf_dir):
+    """Some claims are dated 9999: they are counted, and the calendar does not reach for them."""
+    odd = F.when(F.col("service_line_number") == "7", F.lit("9999-12-31").cast("date")).otherwise(F.col("admission_date"))
+    claims = clean(spark, sf_dir, "service_line_number", "admission_date").withColumn("admission_date", odd)
+    outside = D.outside_calendar(claims).agg(F.count(F.lit(1))).scalar()
+    days = D.dim_date(claims).agg(F.count(F.lit(1)).alias("days"), F.min("date_day").alias("first"), F.max("date_day").alias("last"))
+    return days.withColumn("outside", outside)
 
 
 def unpadded_dates(spark, sf_dir):
@@ -303,7 +367,8 @@ QUERIES: dict[str, Query] = {
         dim_place_of_service_ranges, assign_plan, dim_date, fact_claims, dq_duplicate_grain,
         duplicate_claims, dedupe_claims, mart_plan_month, bi_fact_claims_enriched, pos_first_code,
         code_list, age_years, length_of_stay, allowed_amount, recent_events, reconcile_counts,
-        run_columns, keyless_rejects, normalized_headers, validation_report, dq_issue_rows, widened_batches,
+        run_columns, keyless_rejects, normalized_headers, validation_report, dq_issue_rows, widened_batches, widened_types,
+        wide_by_buckets, mart_after_correction, calendar_bounds,
         unpadded_dates, fact_by_line_id, impute_counts, kpi_top_procedures, kpi_unmatched_codes,
         kpi_totals, kpi_utilization_trend, kpi_diagnosis_dist, kpi_procedure_dist, kpi_provider,
         kpi_claim_type, kpi_claim_status)},
