@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.functions.columns import MONEY_TYPE, date_key, rx_flag, stable_key, year_month
+from claimlake.functions.columns import MONEY_TYPE, date_key, rx_flag, stable_key, stable_keys, year_month
 from claimlake.functions.naming import col, existing, find_column, rename_existing, upper_names
 from claimlake.operators.frames import duplicate_groups, select_existing
 from claimlake.operators.joins import DEFAULT_LIMITS, SALT, JoinLimits, Size, star_join
@@ -36,6 +36,9 @@ MEASURES = (
     "member_cost_share", "units", "quantity", "days_supply",
 )
 
+#: Up to so many keys of a fact are hashed each on its own.
+KEYS_APART = 4
+
 # Columns of the wide table, by the table they come from. ``old: new`` renames.
 WIDE_FACT = {
     "claim_fact_key": "claim_fact_key", "claim_id": "encounter_id", "date_key": "date_key",
@@ -102,13 +105,18 @@ def resolve_grain(df: DataFrame) -> list[str]:
 def fact_claims(ruled: DataFrame, include_flags: bool = False) -> DataFrame:
     """Fact rows from claims that went through :func:`apply_rules`.
 
-    Keys are hashed here once; joins and marts use the stored keys.
+    Keys are hashed here once; joins and marts use the stored keys. Many keys are hashed as one array, a few
+    each on their own, so that those which a query does not use fall away.
     """
-    keys: dict[str, Column] = {"claim_fact_key": stable_key(*resolve_grain(ruled))}
+    parts = {"claim_fact_key": resolve_grain(ruled)}
     for key, ids in FOREIGN_KEYS.items():
         found = existing(ruled, ids)
         if found:
-            keys[key] = stable_key(found[0])
+            parts[key] = found[:1]
+    keys: dict[str, Column] = {key: stable_key(*of) for key, of in parts.items()}
+    if len(parts) > KEYS_APART:
+        ruled = ruled.withColumn("__keys", stable_keys(list(parts.values())))
+        keys = {key: F.col("__keys")[k] for k, key in enumerate(parts)}
     if find_column(ruled, "admission_date"):
         keys["date_key"] = date_key("admission_date")
     flags = [c for c in ruled.columns if c.endswith("_imputed_flag")] if include_flags else []

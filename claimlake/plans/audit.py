@@ -116,8 +116,8 @@ def report_line(name: str, rows: DataFrame | None, run_column: str | None = None
 
 def recent_runs(store: TableStore, layer: str, limit: int = 50) -> DataFrame:
     log = store.read(layer, RUN_LOG_TABLE).filter(F.col("layer") == layer)
-    return newest(log, "end_time", limit)
+    return newest(log, "end_time", limit, tie=["run_id", "target"])
 
 
 def recent_issues(store: TableStore, limit: int = 50, layer: str = GOLD) -> DataFrame:
-    return newest(store.read(layer, DQ_TABLE), "issue_timestamp", limit)
+    return newest(store.read(layer, DQ_TABLE), "issue_timestamp", limit, tie=["gold_run_id", "issue_type", "table_name"])

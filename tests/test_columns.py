@@ -288,3 +288,12 @@ def test_ranges(spark):
 
 def test_status_is_optional(spark):
     assert kpi.by_status(spark.range(1)) is None
+
+
+def test_keys_hashed_together_are_the_same(spark):
+    df = spark.sql("select * from values ('a', 1, date'2024-01-01'), (null, null, null), ('', 0, null), ('a||b', 2, null) as t(s, n, d)")
+    apart = [C.stable_key("s"), C.stable_key("n"), C.stable_key("s", "n", "d")]
+    both = df.select(F.array(*apart).alias("apart"), C.stable_keys([["s"], ["n"], ["s", "n", "d"]]).alias("together")).collect()
+    assert all(r.apart == r.together for r in both)
+    with pytest.raises(ValueError):
+        C.stable_keys([[]])

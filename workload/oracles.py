@@ -348,6 +348,10 @@ ORACLES: dict[str, str] = {
     "widened_batches": """
       select s_suppkey as id, 'r1' as run_id, null as segment from supplier
       union all select c_custkey, 'r2', c_mktsegment from customer""",
+    "log_review": """
+      select 'run-' || event_id as run_id, 'gold' as layer, 'user-' || user_id as target,
+        case when event_id % 2 = 0 then 'SUCCESS' else 'FAILED' end as status, event_id as rows_read
+      from events where event_type = 'error' order by ts desc, 'run-' || event_id limit 50""",
     "widened_types": """
       select cast(l_orderkey as bigint) as id, cast(l_linenumber as int) as line, cast(cast(l_extendedprice as decimal(18,2)) as decimal(16,6)) as amount,
         cast(l_partkey as double) as part, 'r1' as run_id from lineitem where l_linenumber <= 2

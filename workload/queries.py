@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.config import GOLD, Namespace, PipelineConfig
+from claimlake.config import GOLD, Namespace, PipelineConfig, RunContext
 from claimlake.functions import columns as C
 from claimlake.operators import dimensions as D
 from claimlake.functions.naming import normalize_headers
@@ -257,11 +257,24 @@ def validation_report(spark, sf_dir):
 
 
 def dq_issue_rows(spark, sf_dir):
-    """The issue record of duplicate grain keys, without its time."""
-    counted = facts.duplicate_grain_count(clean(spark, sf_dir, *facts.GRAIN_FALLBACK))
-    return counted.select(
-        F.lit("run-1").alias("gold_run_id"), F.lit("DUPLICATE_GRAIN").alias("issue_type"),
-        F.lit("fact_claims").alias("table_name"), F.col("duplicate_groups").alias("record_count"))
+    """The issue record of duplicate grain keys, as the log writes and the review reads it, without its time."""
+    store = scratch_store(spark)
+    groups = facts.duplicate_grain_count(clean(spark, sf_dir, *facts.GRAIN_FALLBACK)).first()["duplicate_groups"]
+    with audit.RunLog(store, GOLD, RunContext("run-1")) as log:
+        log.issue("DUPLICATE_GRAIN", "fact_claims", groups, "several rows share a key")
+    return audit.recent_issues(store).select("gold_run_id", "issue_type", "table_name", "record_count")
+
+
+def log_review(spark, sf_dir):
+    """The 50 newest log rows of a layer; errors among the events play its steps, other events those of another layer."""
+    store = scratch_store(spark)
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "concat('run-', event_id) as run_id", "'claims' as pipeline_name", "if(event_type = 'error', 'gold', 'silver') as layer", "event_type as source",
+        "concat('user-', user_id) as target", "if(event_id % 2 = 0, 'SUCCESS', 'FAILED') as status", "cast(ts as timestamp) as start_time",
+        "cast(ts as timestamp) as end_time", "0D as duration_seconds", "event_id as rows_read", "event_id as rows_written", "0L as rows_rejected",
+        "cast(null as string) as error_message")
+    store.append(rows, GOLD, audit.RUN_LOG_TABLE)
+    return audit.recent_runs(store, GOLD).select("run_id", "layer", "target", "status", "rows_read")
 
 
 def widened_batches(spark, sf_dir):
@@ -368,7 +381,7 @@ QUERIES: dict[str, Query] = {
         duplicate_claims, dedupe_claims, mart_plan_month, bi_fact_claims_enriched, pos_first_code,
         code_list, age_years, length_of_stay, allowed_amount, recent_events, reconcile_counts,
         run_columns, keyless_rejects, normalized_headers, validation_report, dq_issue_rows, widened_batches, widened_types,
-        wide_by_buckets, mart_after_correction, calendar_bounds,
+        wide_by_buckets, mart_after_correction, calendar_bounds, log_review,
         unpadded_dates, fact_by_line_id, impute_counts, kpi_top_procedures, kpi_unmatched_codes,
         kpi_totals, kpi_utilization_trend, kpi_diagnosis_dist, kpi_procedure_dist, kpi_provider,
         kpi_claim_type, kpi_claim_status)},
