@@ -271,14 +271,17 @@ def plan(docs: DataFrame, weights: Iterable[int] = WEIGHTS, id_col: str = "doc_i
 
 
 def slots_of(spark: SparkSession, shards: Shards) -> DataFrame:
-    """``shard, slot, no, pass, block, words``: which block every slot takes, and how many of its words."""
+    """``shard, slot, no, pass, block, words``: which block every slot takes, and how many of its words.
+
+    Spark takes a row for a shard when it sizes this up, so the hint keeps it from broadcasting the slots.
+    """
 
     def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 yield shards.slots(shard)
 
-    return spark.range(shards.shards).mapInArrow(draw, "shard long, slot int, no int, pass int, block long, words int")
+    return spark.range(shards.shards).mapInArrow(draw, "shard long, slot int, no int, pass int, block long, words int").hint("merge")
 
 
 def _blocks(start: Column, size: Column) -> Column:
@@ -291,7 +294,7 @@ def mix_report(docs: DataFrame, weights: Iterable[int] = WEIGHTS, id_col: str =
     pieces = mix.places.select("no", "start", "size", _blocks(F.col("start"), F.col("size")))
     first = F.greatest(F.col("start") - F.col("block") * BLOCK, F.lit(0))
     last = F.least(F.col("start") + F.col("size") - F.col("block") * BLOCK, F.lit(BLOCK))
-    used = pieces.join(mix.slots.select("no", "block", "words"), ["no", "block"]).groupBy("no", "start").agg(
+    used = pieces.join(mix.slots, ["no", "block"]).groupBy("no", "start").agg(
         F.sum(F.least(last, "words") - F.least(first, "words")).cast("long").alias("taken")
     )
     with_words = mix.places.join(used, ["no", "start"], "left").select("no", "id", "size", "taken")
