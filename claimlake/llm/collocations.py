@@ -49,7 +49,7 @@ DEPTH = 5
 PLACES = [f"w{k}" for k in range(1, DEPTH + 1)]
 #: Numbers of the bit tables' places as powers of two: 8 MB for words, 16 MB for pairs.
 WORD_BITS, PAIR_BITS = 26, 27
-#: Distinct words a task counts, words it looks at together, leaves of a group, heavy prefixes at each depth, bytes cut at a time.
+#: Distinct words, pairs or leaves a task counts, words it looks at together, leaves of a group, heavy prefixes at each depth, bytes cut at a time.
 COUNTED, TOGETHER, LEAVES, HEAVY, BYTES = 500_000, 1 << 20, 250_000, 50_000, 1 << 20
 
 
@@ -151,12 +151,39 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "id", "word").agg(F.sum("n").alias("n"))
 
 
-def _runs(texts: DataFrame, frequent, schema: str, work: Callable[[np.ndarray], pa.RecordBatch]) -> DataFrame:
-    """``work`` over the numbers of many texts in a row, with zeros for rare words and breaks, also between texts."""
+def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of ``keys`` sorted, equal ones once with the sum of their ``n``."""
+    order = np.lexsort(keys[::-1])
+    keys = keys[:, order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(n)), bool), (keys[:, 1:] != keys[:, :-1]).any(0))))
+    return keys[:, starts], np.add.reduceat(n[order], starts) if len(n) else n
+
+
+def _runs(texts: DataFrame, frequent, names: list[str], keys_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``names, n``: how often each key occurs, column by column of what ``keys_of`` gives for the numbers of many texts
+    in a row, with zeros for rare words and breaks, also between texts. A task holds some ``COUNTED`` keys before it passes them on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Numbers] = {}
         held, n = [], 0
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def count() -> None:
+            keys = keys_of(np.concatenate(held))
+            held.clear()
+            counted.append(added(keys, np.ones(keys.shape[1], np.int64)))
+            if len(counted) > 1 and sum(len(c[1]) for c in counted) > COUNTED:
+                merge()
+
+        def merge() -> None:
+            keys, sums = added(np.concatenate([c[0] for c in counted], 1), np.concatenate([c[1] for c in counted]))
+            counted[:] = [(keys, sums)]
+
+        def flush() -> pa.RecordBatch:
+            merge()
+            keys, sums = counted.pop()
+            return pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(sums)], [*names, "n"])
+
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if lang not in known:
@@ -169,27 +196,31 @@ def _runs(texts: DataFrame, frequent, schema: str, work: Callable[[np.ndarray],
                     n += len(part)
                 held.append(np.zeros(1, np.int64))
                 if n >= TOGETHER:
-                    yield work(np.concatenate(held))
-                    held, n = [], 0
+                    count()
+                    n = 0
+                    if len(counted[0][1]) > COUNTED:
+                        yield flush()
         if held:
-            yield work(np.concatenate(held))
+            count()
+        if counted:
+            yield flush()
 
-    return texts.mapInArrow(run, schema)
+    parts = texts.mapInArrow(run, ", ".join(f"{p} long" for p in [*names, "n"]))
+    return parts.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def pair_counts(texts: DataFrame, frequent) -> DataFrame:
-    def work(ids: np.ndarray) -> pa.RecordBatch:
+    def pairs_of(ids: np.ndarray) -> np.ndarray:
         a = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        pairs, n = np.unique(pair_numbers(ids[a], ids[a + 1]), return_counts=True)
-        return pa.RecordBatch.from_pydict({"pair": pairs, "n": n})
+        return pair_numbers(ids[a], ids[a + 1])[None, :]
 
-    return _runs(texts, frequent, "pair long, n long", work).groupBy("pair").agg(F.sum("n").alias("n"))
+    return _runs(texts, frequent, ["pair"], pairs_of)
 
 
 def leaves(texts: DataFrame, frequent, pairs) -> DataFrame:
     """``w1`` to ``w5`` (0 beyond a suffix's end) and ``n``: the leaves of all subtrees, of two words at least."""
 
-    def work(ids: np.ndarray) -> pa.RecordBatch:
+    def suffixes(ids: np.ndarray) -> np.ndarray:
         ids = np.concatenate((ids, np.zeros(DEPTH, np.int64)))
         a = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         goes_on = np.zeros(len(ids), bool)
@@ -201,15 +232,9 @@ def leaves(texts: DataFrame, frequent, pairs) -> DataFrame:
         for k in range(1, DEPTH):
             more &= goes_on[at + k - 1]
             suffix[k] = np.where(more, ids[at + k], 0)
-        order = np.lexsort(suffix[::-1])
-        suffix = suffix[:, order]
-        new = np.ones(len(at), bool)
-        new[1:] = (suffix[:, 1:] != suffix[:, :-1]).any(0)
-        starts = np.flatnonzero(new)
-        return pa.RecordBatch.from_pydict({**dict(zip(PLACES, suffix[:, starts], strict=True)), "n": np.diff([*starts, len(at)])})
+        return suffix
 
-    found = _runs(texts, frequent, ", ".join(f"{p} long" for p in PLACES) + ", n long", work)
-    return found.groupBy(*PLACES).agg(F.sum("n").alias("n"))
+    return _runs(texts, frequent, PLACES, suffixes)
 
 
 def grouped(rows: DataFrame, total: int) -> DataFrame:

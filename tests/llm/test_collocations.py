@@ -68,6 +68,17 @@ def test_prefixes_are_split_by_budget(spark, monkeypatch):
     assert all(len(b) == 1 for b in bins.values()) and max(b for s in bins.values() for b in s) < -(-len(rows) // 10)
 
 
+def test_equal_keys_are_added():
+    random = np.random.default_rng(5)
+    keys, n = random.integers(0, 3, (2, 500)), random.integers(1, 9, 500)
+    want = Counter()
+    for a, b, k in zip(*keys.tolist(), n.tolist()):
+        want[a, b] += k
+    got, sums = c.added(keys, n)
+    assert list(zip(zip(*got.tolist()), sums.tolist())) == sorted(want.items())
+    assert c.added(np.zeros((2, 0), np.int64), np.zeros(0, np.int64))[1].tolist() == []
+
+
 def test_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(c, "BYTES", 7)
     text = "aa bbb,cc\tdddddddddddddddd ee. F\n g"
