@@ -43,7 +43,7 @@ STAGES = [
     ("sentencepiece encoding", encode),
 ]
 
-#: The first and the last stage hold a model, which SQL cannot express; tests/llm/test_pipeline.py has a brute-force version.
+#: The first and the last stage hold a model, which SQL cannot express; tests/llm/test_queries.py has a brute-force version.
 ORACLE_SQL = None
 
 
