@@ -6,7 +6,8 @@ it. Records are built of Spark expressions and written by Spark's text writer, w
 blank line that ends a record: the files are plain WARC, and any store that Spark writes will do.
 
 Reading. Files come back as ``binaryFile`` rows; records are cut by their Content-Length, with file, offset and length,
-and digests are computed anew from the payloads read. Files are bounded by ``FILE_BYTES``.
+and digests are computed anew from the payloads read. A file has as many records as make ``FILE_BYTES`` at the table's mean
+payload; where longer pages lie together it gets larger.
 
 Index. A capture line has the URL key (host labels reversed, ``net,example)/path``), page id, file, offset and length.
 Lines are range-partitioned and sorted by key, cut into blocks of ``BLOCK_LINES`` lines, and each block is
@@ -17,7 +18,7 @@ pieces of that size, one after the other.
 
 Defined results: null HTML is an empty payload; a null URL has no target URI and an empty key. Pages without an
 id are written without one, and revisit a page that has one. Of pages that share the smallest id, all
-are responses. Control characters in URLs are percent-encoded in headers. An empty table writes no record.
+are responses. CR and LF in URLs are percent-encoded in headers. An empty table writes no record.
 Other columns are not read.
 """
 
@@ -98,7 +99,7 @@ def record_text() -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 100) -> None:
-    """Writes a record per page to plain WARC files of some ``FILE_BYTES`` at most below ``path``; pages are not shuffled for it."""
+    """Writes a record per page to plain WARC files of some ``FILE_BYTES`` on average below ``path``; pages are not shuffled for it."""
     rows, mean = with_revisits(pages, min_bytes)
     per_file = max(1, FILE_BYTES // max(mean, 1))
     rows.select(record_text().alias("value")).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).text(path)
