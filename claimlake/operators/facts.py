@@ -145,6 +145,26 @@ def mart_plan_month(fact: DataFrame) -> DataFrame:
     )
 
 
+def claim_totals(fact: DataFrame) -> DataFrame:
+    """What a batch adds to :func:`mart_plan_month`, mergeable: the amounts of each plan, month and claim.
+
+    Distinct claims cannot be added up over batches, so the claims themselves are kept, one narrow row each in place of
+    the fact's lines. (Numbering claims to keep them as bitmaps would need a table of the same length.)
+    """
+    zero = F.lit(0).cast(MONEY_TYPE)
+    return fact.groupBy("plan_key", year_month("admission_date").alias("year_month"), "claim_id").agg(
+        F.sum(F.ifnull("line_allowed", zero)).alias("paid_amount"),
+        F.sum(F.ifnull("line_charge", zero)).alias("billed_amount"),
+    )
+
+
+def mart_from_totals(totals: DataFrame) -> DataFrame:
+    """:func:`mart_plan_month` of all facts whose :func:`claim_totals` are given. A claim of several batches counts once."""
+    amounts = {c: totals.schema[c].dataType for c in ("paid_amount", "billed_amount")}
+    return totals.groupBy("plan_key", "year_month").agg(
+        F.count_distinct("claim_id").alias("claims_cnt"), *(F.sum(c).cast(kind).alias(c) for c, kind in amounts.items()))
+
+
 def wide_claims(
     fact: DataFrame, dims: Mapping[str, DataFrame], limits: JoinLimits = DEFAULT_LIMITS,
     sizes: Mapping[str, Size] | None = None, clustered: str | None = None,

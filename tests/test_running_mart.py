@@ -1,0 +1,130 @@
+"""The mart that is kept batch by batch."""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimlake.config import GOLD, Namespace, PipelineConfig
+from claimlake.operators import facts
+from claimlake.plans import gold, running_mart, silver
+from claimlake.plans.pipeline import run_pipeline
+from claimlake.sources.store import TableStore
+from tests.oracle import run_spark
+from workload.files import write_csv, write_input_files
+from workload.queries import scratch_store
+from workload.source import raw_claims
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = "plan_key string, claim_id string, admission_date date, line_allowed decimal(18,2), line_charge decimal(18,2)"
+
+
+@pytest.fixture
+def store(spark):
+    return scratch_store(spark)
+
+
+def lines(spark, *rows):
+    made = spark.createDataFrame([(p, c, d, str(a), str(a * 2)) for p, c, d, a in rows], "p string, c string, d string, a string, b string")
+    types = [c.strip().split(" ") for c in COLUMNS.split(", ")]
+    return made.select(*(F.col(old).cast(kind).alias(new) for old, (new, kind) in zip("pcdab", types)))
+
+
+def kept(store):
+    return run_spark(store.read(GOLD, running_mart.RUNNING_MART_TABLE).drop(running_mart.MONTH))
+
+
+def check(store, *batches):
+    whole = batches[0]
+    for b in batches[1:]:
+        whole = whole.unionByName(b)
+    assert kept(store) == run_spark(facts.mart_plan_month(whole))
+
+
+def test_claims_of_several_batches_count_once(spark, store):
+    a = lines(spark, ("p", "1", "2024-01-05", 10), ("p", "1", "2024-01-05", 10), ("p", None, "2024-01-06", 1), (None, "2", None, 3))
+    b = lines(spark, ("p", "1", "2024-01-09", 5), ("q", "1", "2024-02-09", 5), ("p", "3", "2024-02-01", 7), (None, "2", None, 4))
+    running_mart.add_batch(store, a, "a")
+    check(store, a)
+    running_mart.add_batch(store, b, "b")
+    check(store, a, b)
+    running_mart.add_batch(store, b, "b")
+    check(store, a, b)
+
+
+def test_a_batch_that_comes_again_replaces_its_months(spark, store):
+    """Claim 1 stays counted for the other batch, a month without rows goes, and so does a batch without rows."""
+    a = lines(spark, ("p", "1", "2024-01-05", 10), ("p", "2", "2024-03-05", 1))
+    b = lines(spark, ("p", "1", "2024-01-05", 5))
+    for batch, name in ((a, "a"), (b, "b")):
+        running_mart.add_batch(store, batch, name)
+    less = lines(spark, ("p", "3", "2024-02-05", 4))
+    running_mart.add_batch(store, less, "a")
+    check(store, less, b)
+    running_mart.add_batch(store, less.limit(0), "a")
+    check(store, b)
+
+
+def test_other_months_are_neither_read_nor_written(spark, store):
+    old = spark.range(100_000).selectExpr(
+        "'p' as plan_key", "concat('c', id) as claim_id", "date_add(date '2023-01-01', cast(id % 360 as int)) as admission_date",
+        "cast(1 as decimal(18,2)) as line_allowed", "cast(2 as decimal(18,2)) as line_charge")
+    running_mart.add_batch(store, old, "old")
+    table = store.config.table(GOLD, running_mart.RUNNING_MART_TABLE)
+    before = store._folders(table, store._partitions(table))
+    new = lines(spark, ("p", "c0", "2023-12-05", 10), ("p", "x", "2024-01-05", 1))
+    running_mart.add_batch(store, new, "new")
+    check(store, old, new)
+    after = store._folders(table, store._partitions(table))
+    assert {p for p in after if after[p] != before.get(p)} == {"claim_month=2023-12", "claim_month=2024-01"}
+    plan = running_mart.totals_of(store, ["2023-12"])._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo({running_mart.MONTH},2023-12)" in plan or f"In({running_mart.MONTH}, [2023-12])" in plan
+    assert "fact_claims" not in plan
+
+
+@pytest.mark.parametrize("broken", ["before the totals", "before the mart", "before months are dropped"])
+def test_a_run_that_breaks_off_is_completed(spark, store, monkeypatch, broken):
+    a = lines(spark, ("p", "1", "2024-01-05", 10), ("p", "2", "2024-03-05", 1))
+    less = lines(spark, ("p", "3", "2024-02-05", 4))
+    running_mart.add_batch(store, a, "a")
+    target = {"before the totals": "claim_totals", "before the mart": "mart_from_totals"}.get(broken)
+
+    def stop(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        if target:
+            m.setattr(facts, target, stop)
+        else:
+            m.setattr(TableStore, "drop_partitions", stop)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            running_mart.add_batch(store, less, "a")
+    running_mart.add_batch(store, less, "a")
+    check(store, less)
+
+
+def test_pipeline_keeps_it_over_raw_batches(spark, tmp_path):
+    write_input_files(spark, SF_DIR, tmp_path)
+    tag = uuid.uuid4().hex[:8]
+    cfg = PipelineConfig(
+        claims_path="", reference_path=str(tmp_path), bronze=Namespace("bronze_layer", tag),
+        silver=Namespace("silver_layer", tag), gold=Namespace("gold_layer", tag), gold_mode="append", running_mart=True)
+    whole = raw_claims(spark, SF_DIR)
+    parts = [whole.filter("discharge_date < '1995-07-01'"), whole.filter("not discharge_date < '1995-07-01'")]
+    store = TableStore(spark, cfg)
+    for k, part in enumerate(parts):
+        write_csv(part, str(tmp_path / f"part{k}.csv"))
+        run_pipeline(spark, replace(cfg, claims_path=str(tmp_path / f"part{k}.csv")))
+    check(store, store.read(GOLD, "fact_claims"))
+    first = kept(store)
+    silver.run_silver(store)
+    gold.run_gold(store)
+    assert kept(store) == first
+
+
+def test_it_is_refused_where_months_replace_each_other():
+    with pytest.raises(ValueError, match="running_mart"):
+        PipelineConfig("c", "r", gold_mode="months", running_mart=True)

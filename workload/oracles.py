@@ -366,6 +366,12 @@ ORACLES: dict[str, str] = {
           cast(sum(line_allowed) as decimal(28,2)) as paid_amount,
           cast(sum(line_charge + case when year(admission_date) = 1995 then 1 else 0 end) as decimal(28,2)) as billed_amount
         from fact group by 1, 2""", *_TO_FACT),
+    "mart_by_batches": _sql(
+        """select plan_key, strftime(admission_date, '%Y-%m') as year_month,
+          count(distinct claim_id) as claims_cnt,
+          cast(sum(line_allowed) as decimal(28,2)) as paid_amount,
+          cast(sum(line_charge + case when discharge_date >= date '1995-07-01' then 1 else 0 end) as decimal(28,2)) as billed_amount
+        from fact group by 1, 2""", *_TO_FACT),
     "calendar_bounds": _sql(
         """select date_diff('day', min(d), max(d)) + 1 as days, min(d) as first, max(d) as last,
           (select count(*) from clean where service_line_number = '7') as outside

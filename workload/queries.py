@@ -15,7 +15,7 @@ from claimlake.operators import dimensions as D
 from claimlake.functions.naming import normalize_headers
 from claimlake.operators import facts, frames, joins, kpi
 from claimlake.operators.standardize import TRIM_ONLY, reject_condition, split_rejects, standardize
-from claimlake.plans import audit, gold
+from claimlake.plans import audit, gold, running_mart
 from claimlake.sources.store import Buckets, TableStore
 from workload.source import AS_OF, lookup, raw_claims, table
 
@@ -328,6 +328,18 @@ def mart_after_correction(spark, sf_dir):
     return store.read(GOLD, gold.MART_TABLE).drop(gold.MONTH)
 
 
+def mart_by_batches(spark, sf_dir):
+    """A mart kept batch by batch. Claims have lines in both batches; the second batch first came with all lines, and
+    comes again with its own and other amounts."""
+    store = scratch_store(spark)
+    lines = fact(spark, sf_dir, "plan_id", "admission_date", "discharge_date", *_AMOUNTS)
+    early = F.col("discharge_date") < "1995-07-01"
+    corrected = lines.filter(~early).withColumn("line_charge", (F.col("line_charge") + 1).cast(C.MONEY_TYPE))
+    for name, batch in (("b1", lines.filter(early)), ("b2", lines), ("b2", corrected)):
+        running_mart.add_batch(store, batch, name)
+    return store.read(GOLD, running_mart.RUNNING_MART_TABLE).drop(running_mart.MONTH)
+
+
 def calendar_bounds(spark, sf_dir):
     """Some claims are dated 9999: they are counted, and the calendar does not reach for them."""
     odd = F.when(F.col("service_line_number") == "7", F.lit("9999-12-31").cast("date")).otherwise(F.col("admission_date"))
@@ -381,7 +393,7 @@ QUERIES: dict[str, Query] = {
         duplicate_claims, dedupe_claims, mart_plan_month, bi_fact_claims_enriched, pos_first_code,
         code_list, age_years, length_of_stay, allowed_amount, recent_events, reconcile_counts,
         run_columns, keyless_rejects, normalized_headers, validation_report, dq_issue_rows, widened_batches, widened_types,
-        wide_by_buckets, mart_after_correction, calendar_bounds, log_review,
+        wide_by_buckets, mart_after_correction, mart_by_batches, calendar_bounds, log_review,
         unpadded_dates, fact_by_line_id, impute_counts, kpi_top_procedures, kpi_unmatched_codes,
         kpi_totals, kpi_utilization_trend, kpi_diagnosis_dist, kpi_procedure_dist, kpi_provider,
         kpi_claim_type, kpi_claim_status)},
