@@ -5,9 +5,10 @@ windows are its runs of ``window`` words; an item with fewer, but not none, is o
 numbers are hashed in one rolling pass over a batch of documents; every hash hit is verified word by
 word. Documents come out with the words hit, the items found and, on request, their spans.
 
-The broadcast holds at most ``MAX_WINDOWS`` benchmark windows. A larger benchmark is cut into blocks of
-items; the documents then pass one block after the other, in the same narrow stage, with a mask of hit words that
-grows. No case is dropped.
+A benchmark of at most ``MAX_BYTES`` is broadcast whole, which bounds its windows. A larger one stays in Spark: its
+windows are made by tasks and stored, and a bit array of their hashes, of fixed size, is broadcast. Document windows that the
+array lets through are joined with the stored ones by hash and word for word; equal texts are
+joined once. Both ways give the same rows; no case is dropped.
 
 Defined results: null and empty texts have no words and are not hit; null or empty items have no windows;
 an item without an id is scanned, hits words, and is left out of the item list. Items with the same id
@@ -20,16 +21,21 @@ import hashlib
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import fields, ship
+from claimlake.llm.common import fields, ship, stored
 
-#: Benchmark windows in one broadcast set (each a few hundred bytes with its words), and words scanned at once.
-MAX_WINDOWS, SCAN_WORDS = 500_000, 2_000_000
+#: Bytes of a benchmark that is broadcast (its windows take some fifty times as much), and words scanned at once.
+MAX_BYTES, SCAN_WORDS = 3_000_000, 2_000_000
+#: Bits of the array of window hashes that is broadcast for larger benchmarks, in pieces of what Spark's bitmaps hold.
+PIECE = 32_768
+FILTER_BITS = 4_096 * PIECE
 #: Bytes outside words become blanks, A-Z become lower case.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -87,10 +93,11 @@ def rolled(ids: np.ndarray, size: int) -> np.ndarray:
 
 
 def _scanned(windows, batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Adds one block's hits: ``mask`` has a byte per word (compressed), ``items`` the ids found so far."""
+    """Adds the hits: ``mask`` has a byte per word (compressed), ``items`` the ids found."""
     found: WindowSet = windows.value
     texts = batch.column("text").cast(pa.binary())
-    masks, items = batch.column("mask").to_pylist(), batch.column("items").to_pylist()
+    masks: list[bytes | None] = [None] * batch.num_rows
+    items: list[list[str]] = [[] for _ in range(batch.num_rows)]
     counts = [0] * batch.num_rows
     number = found.numbers.__getitem__
     pending: list[tuple[int, int, int]] = []  # row, first word, words
@@ -105,11 +112,8 @@ def _scanned(windows, batch: pa.RecordBatch) -> pa.RecordBatch:
             got[int(np.searchsorted(starts, start, "right")) - 1] |= of
         for k, of in got.items():
             row, start, n = pending[k]
-            mask = hits[start : start + n]
-            if masks[row]:
-                mask = mask | np.frombuffer(zlib.decompress(masks[row]), np.uint8)
-            masks[row] = zlib.compress(mask.tobytes(), 1)
-            items[row] = sorted({*(items[row] or []), *(i for i in of if i is not None)})
+            masks[row] = zlib.compress(hits[start : start + n].tobytes(), 1)
+            items[row] = sorted(i for i in of if i is not None)
         pending.clear()
         ids.clear()
 
@@ -131,39 +135,115 @@ def _scanned(windows, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``text``, ``n_words``, ``mask`` and ``items`` of every row; ``mask`` is null where nothing is hit."""
-    spark = docs.sparkSession
-    ship(spark)
-    out = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
-        F.lit(None).cast("binary").alias("mask"), F.array().cast("array<string>").alias("items"),
-    )
-    schema = fields(out, "id", and_="text string, n_words long, mask binary, items array<string>")
-    for windows in _blocks(benchmark, window):
-        known = spark.sparkContext.broadcast(windows)
-
-        def scan(batches: Iterable[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield _scanned(known, batch)
-
-        out = out.mapInArrow(scan, schema)
-    return out
+    ship(docs.sparkSession)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where(F.length("text") > 0)
+    size = items.agg(F.sum(F.length("text") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0]
+    return _scan_broadcast(docs, items, window) if (size or 0) <= MAX_BYTES else _scan_joined(docs, items, window)
+
+
+def _scan_broadcast(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    with_words = ((row.item, words_of(bytes(row.text))) for row in items.collect())
+    windows = WindowSet([(item, words) for item, words in with_words if words], window)
+    known = docs.sparkSession.sparkContext.broadcast(windows)
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _scanned(known, batch)
+
+    return docs.mapInArrow(scan, fields(docs, "id", and_="text string, n_words long, mask binary, items array<string>"))
+
+
+class WordHashes(dict):
+    """Hashes of words, made once each; emptied where it grows large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def _blocks(benchmark: DataFrame, window: int) -> Iterator[WindowSet]:
-    """The benchmark in sets of at most ``MAX_WINDOWS`` windows (one long item may exceed it); an empty set at least."""
-    block, size, any_yet = [], 0, False
-    for row in benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")).toLocalIterator():
-        words = words_of(None if row.text is None else bytes(row.text))
-        if not words:
-            continue
-        n = max(1, len(words) - window + 1)
-        if block and size + n > MAX_WINDOWS:
-            yield WindowSet(block, window)
-            block, size, any_yet = [], 0, True
-        block.append((row.item_id, words))
-        size += n
-    if block or not any_yet:
-        yield WindowSet(block, window)
+WORD_HASHES = WordHashes()
+
+
+def _chunked(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of a bounded number."""
+    for some in batched(rows, 10_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), schema, strict=True)], schema=schema)
+
+
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """``size, hash, words, item`` of every benchmark window."""
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = words_of(text)
+                size = min(window, len(words))
+                hashes = rolled(WORD_HASHES.of(words), size).view(np.int64).tolist() if size else []
+                for start, value in enumerate(hashes):
+                    yield size, value, b" ".join(words[start : start + size]), item
+
+    schema = pa.schema([("size", pa.int32()), ("hash", pa.int64()), ("words", pa.binary()), ("item", pa.string())])
+    return items.mapInArrow(lambda batches: _chunked(made(batches), schema), "size int, hash long, words binary, item string")
+
+
+def _hash_filter(windows: DataFrame) -> dict[int, np.ndarray]:
+    """Per size of window the bits of its hashes; as many bytes as ``FILTER_BITS`` has at most for each."""
+    slot = F.pmod("hash", F.lit(FILTER_BITS)) + 1
+    pieces = windows.groupBy("size", F.bitmap_bucket_number(slot).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    found: dict[int, np.ndarray] = {}
+    for row in pieces.toLocalIterator():
+        bits = found.setdefault(row["size"], np.zeros(FILTER_BITS // 8, np.uint8))
+        at = (row["piece"] - 1) * PIECE // 8
+        bits[at : at + PIECE // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return found
+
+
+def _scan_joined(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """Document windows meet benchmark windows in a join; rows are told apart by their text, so equal ones are joined once."""
+    windows = stored(_item_windows(items, window), "benchmark-windows")
+    known = docs.sparkSession.sparkContext.broadcast(_hash_filter(windows))
+    docs = docs.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+
+    def passing(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
+                words = words_of(text.cast(pa.binary()).as_py())
+                hashed = WORD_HASHES.of(words)
+                for size, bits in known.value.items():
+                    values = rolled(hashed, size)
+                    slots = (values.view(np.int64) % FILTER_BITS).astype(np.int64)
+                    for start in np.flatnonzero(bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).tolist():
+                        yield key, start, size, int(values[start].view(np.int64)), b" ".join(words[start : start + size])
+
+    schema = pa.schema([("key", pa.string()), ("start", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("words", pa.binary())])
+    rows = docs.where(F.length("text") > 0).select("key", "text")
+    maybe = rows.mapInArrow(lambda batches: _chunked(passing(batches), schema), "key string, start int, size int, hash long, words binary")
+    hits = maybe.distinct().join(windows.distinct(), ["size", "hash", "words"])
+    # Both lists are bounded by the text: spans by its words, items by the windows that it holds.
+    found = hits.groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("spans"), F.sort_array(F.collect_set("item")).alias("items"))
+    joined = docs.join(found, "key", "left").select("id", "text", "spans", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+    def masked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, masks = [], []
+            for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist(), strict=True):
+                counts.append(len(words_of(text.cast(pa.binary()).as_py())))
+                mask = np.zeros(counts[-1], np.uint8)
+                for span in spans or ():
+                    mask[span["start"] : span["start"] + span["size"]] = 1
+                masks.append(zlib.compress(mask.tobytes(), 1) if spans else None)
+            yield pa.RecordBatch.from_pydict({
+                "id": batch.column("id"), "text": batch.column("text"), "n_words": pa.array(counts, pa.int64()),
+                "mask": pa.array(masks, pa.binary()), "items": batch.column("items"),
+            })
+
+    return joined.mapInArrow(masked, fields(joined, "id", and_="text string, n_words long, mask binary, items array<string>"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

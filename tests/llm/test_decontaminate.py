@@ -51,13 +51,31 @@ def test_against_brute_force(cases, rows_of):
     assert not any(r.contaminated for r in contamination(docs, benchmark.limit(0)).collect())
 
 
-def test_large_benchmarks_go_in_blocks(cases, rows_of, monkeypatch):
+def test_scan_in_pieces(cases, rows_of, monkeypatch):
     rows, items, docs, benchmark = cases
-    monkeypatch.setattr(decontaminate, "MAX_WINDOWS", 4)
     monkeypatch.setattr(decontaminate, "SCAN_WORDS", 50)
     assert rows_of(contamination(docs, benchmark)) == brute(rows, items)
 
 
+@pytest.mark.parametrize("bits", [decontaminate.PIECE, decontaminate.FILTER_BITS])
+def test_large_benchmarks_are_joined(cases, rows_of, monkeypatch, bits):
+    """Also where the filter lets nearly everything through."""
+    rows, items, docs, benchmark = cases
+    monkeypatch.setattr(decontaminate, "MAX_BYTES", 0)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
+    assert rows_of(contamination(docs, benchmark)) == brute(rows, items)
+    assert contamination(docs.limit(0), benchmark).collect() == []
+
+
+def test_joined_as_broadcast_on_whole_tables(spark, rows_of, monkeypatch):
+    docs, benchmark = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "benchmark"))
+    want = rows_of(contamination(docs, benchmark))
+    kept = rows_of(clean(docs, benchmark, remove="spans").select("doc_id", "text"))
+    monkeypatch.setattr(decontaminate, "MAX_BYTES", 0)
+    assert rows_of(contamination(docs, benchmark)) == want and any(r[-1] for r in want)
+    assert rows_of(clean(docs, benchmark, remove="spans").select("doc_id", "text")) == kept
+
+
 def test_removal(spark):
     benchmark = spark.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "Keep: w1, w2 - w3. And w1 w2!", 5), (2, "w1 w2", 6), (3, None, 7)], "doc_id long, text string, id int")
