@@ -3,7 +3,7 @@
 A line's key is the line without ASCII white space at both ends, A-Z in lower case. A key of at least
 ``min_chars`` code points that at least two documents hold loses all its lines outside the smallest document.
 
-Keys travel as 128-bit hashes with their document and line number, never as text. They are range-partitioned
+Keys travel as 128-bit hashes with their document and line number, never as text. They are stored, range-partitioned
 by (hash, document, line) and sorted within, so a key that a third of all lines share is spread over many
 partitions. Each partition streams its rows: the first document of a hash keeps its lines, the others' lines are
 dropped. Only the first run of a partition may continue a hash of the partition before; its first
@@ -48,6 +48,7 @@ def line_hashes(docs: DataFrame, min_chars: int, id_col: str = "doc_id", text_co
 def dropped_lines(hashes: DataFrame) -> DataFrame:
     """``id, text_hash, line`` of every line to drop."""
     order = ["h1", "h2", "last", "id", "text_hash", "line"]
+    hashes = stored(hashes, "line-hashes")  # the ranges are found by a pass of their own, which would split and hash all texts again
     dealt = hashes.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = fields(dealt, *order, and_="state byte, part int")
 
