@@ -7,10 +7,13 @@ another's turned vector, divided by the factor, is an unbiased estimate of their
 error; pairs whose upper confidence bound is below the threshold need no more work. All others are
 computed anew, in double precision, from the stored vectors.
 
-Which pairs are estimated at all: signs under further rotations are cut into ``BANDS`` keys of ``BITS`` bits; vectors
-that share a key under a label meet in a bucket. A pair at cosine 0.93 meets with probability 1 - 1e-4, at 0.95
-with 1 - 1e-5. Codes only (some 100 bytes a row) go to the buckets; whole vectors follow for those that have a
-pair left there. A pair counts in the first band in which it meets.
+Which pairs are estimated at all: signs under further rotations are cut into keys; vectors that share a key under a
+label meet in a bucket. The bits of a key, and with them the number of keys (bands) that keeps the probability of a pair at the
+threshold to miss all buckets at ``MISS``, are chosen per label from its counted buckets: each number of bits
+costs ``bands * (1 + members / TILE)`` rows a vector, ``members`` being those of the bucket a vector meets, and the least
+cost wins. For evenly spread vectors of one label, at 0.93, that is 21 bands of 8 bits up to some 65,000 vectors, and 114 of 20 bits at
+10^8: rows a vector grow with the fourth root of the table. Codes only (some 100 bytes a row) go to the
+buckets; whole vectors follow for those that have a pair left there. A pair counts in the first band in which it meets.
 
 Equal vectors of a label are one node, whatever their number. A bucket of more than ``TILE`` nodes is cut into chunks, and
 each two chunks are a task's work: no bucket is ever in one task, and no pair is emitted as a row, only counts per
@@ -23,6 +26,7 @@ without an id is never the smallest. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,52 +38,75 @@ from pyspark.sql import functions as F
 from claimlake.llm.common import decimals, fields, matrix, per_tile, ship, stored
 from claimlake.llm.components import components
 
-#: Bits of a bucket key, bands, nodes in a tile's side, standard errors of the confidence bound, seed.
-BITS, BANDS, TILE, ERRORS, SEED = 10, 28, 512, 5.0, 3
+#: Most bits of a bucket key, bands that are always worth having, probability to miss a pair at the threshold.
+WIDEST, FEW_BANDS, MISS = 24, 21, 1e-4
+#: Nodes in a tile's side, standard errors of the confidence bound, seed.
+TILE, ERRORS, SEED = 512, 5.0, 3
 TILE_KEY = ["label", "dim", "band", "key", "chunk_a", "chunk_b"]
 
 
-def rotations(dim: int) -> np.ndarray:
-    """Random orthogonal matrices: the first makes the code, the further ones the bits of the bucket keys."""
-    random = np.random.default_rng([SEED, dim])
-    n = 1 + -(-BITS * BANDS // dim)
-    q, r = np.linalg.qr(random.standard_normal((n, dim, dim)))
-    return q * np.sign(np.diagonal(r, axis1=1, axis2=2))[:, None, :]
+def rotation(dim: int, number: int) -> np.ndarray:
+    """A random orthogonal matrix; number 0 makes the code, the further ones the bits of the bucket keys."""
+    q, r = np.linalg.qr(np.random.default_rng([SEED, dim, number]).standard_normal((dim, dim)))
+    return q * np.sign(np.diagonal(r))
+
+
+def bands_for(bits: int, threshold: float) -> int:
+    """Keys of ``bits`` bits that a vector needs, so that a pair at ``threshold`` shares none with probability ``MISS``."""
+    meets = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    if meets >= 1 - MISS:
+        return 1
+    return math.ceil(math.log(MISS) / math.log1p(-meets)) if meets > 1e-9 else 1 << 31
+
+
+def bit_choices(threshold: float) -> list[int]:
+    """Numbers of bits to choose from: the most that ``FEW_BANDS`` allow, and more in steps of two."""
+    least = max(b for b in range(WIDEST + 1) if bands_for(b, threshold) <= FEW_BANDS)
+    return [b for b in range(least, WIDEST + 1, 2) if b == least or bands_for(b, threshold) <= 1_000]
 
 
 class Coder:
-    """Codes of vectors, by their length."""
+    """Codes and bucket keys of vectors of length one, by their length."""
 
     def __init__(self) -> None:
-        self.known: dict[int, np.ndarray] = {}
+        self.known: dict[tuple[int, int], np.ndarray] = {}
+
+    def turn(self, units: np.ndarray, number: int) -> np.ndarray:
+        place = units.shape[1], number
+        if place not in self.known:
+            self.known[place] = rotation(*place)
+        return units @ self.known[place]
 
     def __call__(self, units: np.ndarray) -> dict[str, np.ndarray]:
-        dim = units.shape[1]
-        if dim not in self.known:
-            self.known[dim] = rotations(dim)
-        turned = units @ self.known[dim][0]
-        bits = np.concatenate([units @ q > 0 for q in self.known[dim][1:]], 1)[:, : BITS * BANDS]
-        keys = bits.reshape(len(units), BANDS, BITS) @ (1 << np.arange(BITS))
+        turned = self.turn(units, 0)
         step = np.maximum(np.abs(turned).max(1), 1e-30) / 127
         return {
-            "keys": keys.astype(np.int16),
+            "sketch": self.keys(units, WIDEST, 1)[:, 0],
             "code": np.packbits(turned > 0, axis=1),
-            "factor": (np.abs(turned).sum(1) / np.sqrt(dim)).astype(np.float32),
+            "factor": (np.abs(turned).sum(1) / np.sqrt(units.shape[1])).astype(np.float32),
             "steps": np.rint(turned / step[:, None]).astype(np.int8),
             "step": step.astype(np.float32),
         }
 
+    def keys(self, units: np.ndarray, bits: int, bands: int) -> np.ndarray:
+        """A row of ``bands`` numbers of ``bits`` bits per vector."""
+        if not bits:
+            return np.zeros((len(units), bands), np.int32)
+        count = -(-bits * bands // units.shape[1])
+        signs = np.concatenate([self.turn(units, 1 + k) > 0 for k in range(count)], 1)[:, : bits * bands]
+        return (signs.reshape(len(units), bands, bits) @ (1 << np.arange(bits)[::-1])).astype(np.int32)
+
 
 CODER = Coder()
 
 
 def coded(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """``id, node, label, dim, vector, keys, code, factor, steps, step`` of every row; all but the id null for vectors that cannot link."""
+    """``id, node, label, dim, vector, sketch, code, factor, steps, step`` of every row; all but the id null for vectors that cannot link."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            cells = {c: [None] * n for c in ("node", "dim", "vector", "keys", "code", "factor", "steps", "step")}
+            cells = {c: [None] * n for c in ("node", "dim", "vector", "sketch", "code", "factor", "steps", "step")}
             labels = batch.column("label").to_pylist()
             by_dim: dict[int, list[tuple[int, np.ndarray]]] = {}
             for k, vector in enumerate(batch.column("vector")):
@@ -98,17 +125,51 @@ def coded(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> D
                     data = raw.tobytes()
                     cells["node"][k] = xxhash.xxh3_128_intdigest(data + repr(labels[k]).encode()) >> 2
                     cells["dim"][k], cells["vector"][k] = dim, units[row].tobytes()
-                    cells["keys"][k] = codes["keys"][row]
+                    cells["sketch"][k] = int(codes["sketch"][row])
                     for name in ("code", "steps"):
                         cells[name][k] = codes[name][row].tobytes()
                     for name in ("factor", "step"):
                         cells[name][k] = float(codes[name][row])
-            types = {"dim": pa.int32(), "keys": pa.list_(pa.int16()), "factor": pa.float32(), "step": pa.float32()}
+            types = {"dim": pa.int32(), "sketch": pa.int32(), "factor": pa.float32(), "step": pa.float32()}
             columns = {c: pa.array(v, types.get(c, pa.binary())) for c, v in cells.items() if c != "node"}
             yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "label": batch.column("label"), "node": decimals(cells["node"]), **columns})
 
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
-    return rows.mapInArrow(run, fields(rows, "id", "label", and_="node decimal(38,0), dim int, vector binary, keys array<smallint>, code binary, factor float, steps binary, step float"))
+    return rows.mapInArrow(run, fields(rows, "id", "label", and_="node decimal(38,0), dim int, vector binary, sketch int, code binary, factor float, steps binary, step float"))
+
+
+def key_bits(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``label, dim, bits`` from all ``nodes`` (label, dim, sketch): the bits whose buckets cost the fewest rows.
+
+    A sketch's leading bits are a key of as many bits, so one count by sketch gives the buckets of every choice.
+    """
+    counts = nodes.groupBy("label", "dim", "sketch").agg(F.count(F.lit(1)).alias("n"))
+    choices = bit_choices(threshold)
+    bands = F.element_at(F.create_map(*[F.lit(x) for b in choices for x in (b, bands_for(b, threshold))]), F.col("bits"))
+    buckets = counts.select("label", "dim", "sketch", "n", F.explode(F.array(*map(F.lit, choices))).alias("bits"))
+    buckets = buckets.groupBy("label", "dim", "bits", F.expr(f"shiftright(sketch, {WIDEST} - bits)").alias("key")).agg(F.sum("n").alias("n"))
+    members = buckets.groupBy("label", "dim", "bits").agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("members"))
+    cost = bands * (1 + F.col("members") / TILE)
+    return members.groupBy("label", "dim").agg(F.min(F.struct(cost.alias("cost"), "bits")).getField("bits").alias("bits"))
+
+
+def keyed(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``nodes`` (with ``bits`` and ``vector``) and their bucket keys."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells: list[np.ndarray | None] = [None] * batch.num_rows
+            together: dict[tuple[int, int], list[int]] = {}
+            for k, place in enumerate(zip(batch.column("dim").to_pylist(), batch.column("bits").to_pylist(), strict=True)):
+                together.setdefault(place, []).append(k)
+            vectors = batch.column("vector")
+            for (dim, bits), rows in together.items():
+                units = np.frombuffer(b"".join(vectors[k].as_py() for k in rows), np.float64).reshape(-1, dim)
+                for k, keys in zip(rows, CODER.keys(units, bits, bands_for(bits, threshold)), strict=True):
+                    cells[k] = keys
+            yield batch.append_column("keys", pa.array(cells, pa.list_(pa.int32())))
+
+    return nodes.mapInArrow(run, fields(nodes, *nodes.columns, and_="keys array<int>"))
 
 
 def tiles(rows: DataFrame) -> DataFrame:
@@ -150,7 +211,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     """Per row: ``id_col``, ``n_links`` (other rows linked directly), ``component_id`` (smallest id reachable) and ``kept``."""
     ship(vectors.sparkSession)
     rows = stored(coded(vectors, id_col, vector_col, label_col), "coded")
-    nodes = rows.where("node is not null").dropDuplicates(["node"])
+    nodes = rows.where("node is not null")
+    bits = stored(key_bits(nodes.select("label", "dim", "sketch", "node").distinct(), threshold), "bits")  # small: a row per label
+    nodes = stored(keyed(nodes.drop("id", "sketch").dropDuplicates(["node"]).join(bits, ["label", "dim"]), threshold), "nodes")
     codes = nodes.select("label", "dim", "node", "code", "factor", "steps", "step", F.posexplode("keys").alias("band", "key"))
 
     def undecided(table: pa.Table) -> pa.RecordBatch | None:
@@ -174,7 +237,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
         """Links in double precision: per node the rows linked in this tile, and the smallest node connected here."""
         left, right, same = sides(table)
         unit = matrix(table.column("vector"), np.float64)
-        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)  # one label, so as many each
         linked = unit[left] @ unit[right].T >= threshold
         if same:
             linked &= ~np.eye(len(left), dtype=bool)

@@ -178,10 +178,31 @@ def test_vectors_against_all_pairs(spark, rows_of, monkeypatch):
     assert sum(r[1] for r in want) > 300
     assert rows_of(near_vectors(frame)) == want
     assert near_vectors(frame.limit(0)).collect() == []
-    monkeypatch.setattr(embedding_dedup, "TILE", 2)  # buckets in many tiles
+    monkeypatch.setattr(embedding_dedup, "TILE", 2)  # buckets in many tiles, and keys of more bits
     assert rows_of(near_vectors(frame)) == want
 
 
+def test_bits_follow_the_counted_buckets(spark):
+    pick = random.Random(3)
+    rows = [("even", 64, pick.randrange(1 << 24), k) for k in range(60_000)] + [("copies", 64, 5, k) for k in range(60_000)]
+    rows += [("few", 64, pick.randrange(1 << 24), k) for k in range(500)]
+    nodes = spark.createDataFrame(rows, "label string, dim int, sketch int, node long")
+
+    def chosen(tile):
+        embedding_dedup.TILE, before = tile, embedding_dedup.TILE
+        try:
+            return {r.label: r.bits for r in embedding_dedup.key_bits(nodes, 0.93).collect()}
+        finally:
+            embedding_dedup.TILE = before
+
+    assert chosen(512) == {"even": 8, "copies": 8, "few": 8}
+    assert chosen(8) == {"even": 14, "copies": 8, "few": 8}  # copies meet under any number of bits, so more would not help
+    rows_a_vector = lambda n, tile=512: min(embedding_dedup.bands_for(b, 0.93) * (1 + n / 2**b / tile) for b in embedding_dedup.bit_choices(0.93))
+    assert rows_a_vector(10**9) / rows_a_vector(10**7) < 100**0.25  # far from the square
+    assert embedding_dedup.bit_choices(1.0) == [24] and embedding_dedup.bands_for(24, 1.0) == 1
+    assert all(embedding_dedup.bit_choices(t) for t in (-1.0, 0.0, 0.3, 0.99))
+
+
 def test_estimates_are_unbiased_and_bounded():
     random = np.random.default_rng(1)
     base = random.standard_normal((1, 64))
@@ -206,4 +227,7 @@ def test_keys_meet_as_often_as_stated():
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     c = 0.93 * a + np.sqrt(1 - 0.93**2) * b
     coder = Coder()
-    assert (coder(a)["keys"] == coder(c)["keys"]).any(1).mean() > 0.999
+    for bits in embedding_dedup.bit_choices(0.93)[:5]:
+        bands = embedding_dedup.bands_for(bits, 0.93)
+        assert (coder.keys(a, bits, bands) == coder.keys(c, bits, bands)).any(1).mean() > 0.999
+        assert (coder(a)["sketch"] >> 24 - bits == coder.keys(a, bits, bands)[:, 0]).all()
