@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+import re
 import textwrap
 
 import pytest
 
-from claimlake.llm.licenses import license_matches, license_report
+from claimlake.llm.licenses import COMMENT, RULES, SENTENCE_END, SENTENCES, license_matches, license_report
 
 CASES = {
     1: ("# Released under the MIT License.\ncode", "MIT", 1),
@@ -64,7 +66,42 @@ You may obtain a copy of the License at
 Unless required by applicable law or agreed to in writing, software
 distributed under the License is distributed on an "AS IS" BASIS,
 WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
-NOTICES = {"MIT": MIT, "BSD": BSD, "GPL": GPL.format(":", ",", 3), "GPL ": GPL.format(";", ";", 2), "Apache-2.0": APACHE}
+BSD_BINARY = """
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_NAMES = """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+BSD_AS_IS = """
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+NOTICES = {
+    "MIT": MIT, "BSD": BSD, "GPL-3.0-or-later": GPL.format(":", ",", 3), "GPL-2.0-or-later": GPL.format(";", ";", 2), "Apache-2.0": APACHE,
+    "BSD-2-Clause": BSD + BSD_BINARY + BSD_AS_IS, "BSD-3-Clause": BSD + BSD_BINARY + BSD_NAMES + BSD_AS_IS, "BSD ": BSD + BSD_BINARY,
+    "BSD  ": BSD + BSD_BINARY + BSD_NAMES.replace("the copyright holder", "Foo Inc") + BSD_AS_IS,
+    "LGPL-2.1-or-later": LGPL, "ISC": ISC, "0BSD": ISC.split(", provided")[0] + ".", "MPL-2.0": MPL,
+    "AGPL-3.0-or-later": GPL.format(":", ",", 3).replace("GNU General", "GNU Affero General"),
+    "GPL-2.0-only": GPL.format(";", ";", 2).replace("either version", "version").replace(", or\n(at your option) any later version", ""),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Apache-2.0 OR MIT": "SPDX-License-Identifier: Apache-2.0 OR MIT", "MIT ": "SPDX-License-Identifier: MIT", "MIT  ": "This project is licensed under the MIT License.",
+}
 #: As it is, paragraphs in a line each, all in one line, other wraps, in comments.
 FORMS = (
     lambda t: t,
@@ -90,3 +127,43 @@ def test_parts_of_sentences_are_no_match(spark):
     texts = ["Not released under\nthe MIT License.", "Released under.\nthe MIT License", "Released under\nthe other\nMIT License", "Licensed under\nthe"]
     found = license_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert {(r.licenses, r.n_matches) for r in found.collect()} == {("", 0)}
+
+
+def test_against_brute_force_of_sentences_and_rules(spark):
+    """Texts of known sentences, parts of them, other words and line ends, by trying every sentence at every piece."""
+    pick = random.Random(11)
+    sentences = sorted(SENTENCES, key=lambda s: (-len(s), s))
+    marks = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+
+    def text():
+        parts = [pick.choice(sentences) if pick.random() < 0.8 else pick.choice(sentences)[:40] for _ in range(pick.randrange(1, 9))]
+        wrapped = [p if pick.random() < 0.5 else "\n".join(textwrap.wrap(p, pick.choice([30, 60]), break_long_words=False, break_on_hyphens=False)) for p in parts]
+        return "".join(p + pick.choice([". ", ".\n", "\n", ".\n\n", ".\n# ", ". Other words. "]) for p in wrapped)
+
+    def matches(text):
+        lines = [" ".join(re.sub(COMMENT.replace("++", "+").replace(r"\z", r"\Z"), "", p.lower()).split()) for p in re.split(SENTENCE_END, text)]
+        known = [None] * len(lines)  # (identifier, first piece) at every piece of a known sentence
+        for sentence in sentences:
+            for i, line in enumerate(lines):
+                for j in range(i, len(lines) if line else i):
+                    if any(known[i : j + 1]) or len(" ".join(lines[i + 1 : j])) > len(sentence):
+                        break
+                    if lines[j] and " ".join(x for x in lines[i : j + 1] if x).strip(marks) == sentence:
+                        known[i : j + 1] = [(SENTENCES[sentence], i)] * (j + 1 - i)
+                        break
+        row = [k for n, k in enumerate(known) if (k or lines[n]) and (not k or k[1] == n)]  # lines without text do not part
+        found = []
+        for name, ids in RULES:
+            at = 0
+            while at + len(ids) <= len(row):
+                if [k and k[0] for k in row[at : at + len(ids)]] == list(ids):
+                    found.append((name, row[at][1], len(ids)))
+                    row[at : at + len(ids)] = [None]
+                at += 1
+        return found
+
+    texts = [text() for _ in range(400)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted((i, *m) for i, t in enumerate(texts) for m in matches(t))
+    assert len({m[1] for m in want}) > 25
+    assert sorted((r.id, r.license, r.place, r.sentences) for r in license_matches(frame).collect()) == want
