@@ -146,3 +146,43 @@ def test_mart_sums_to_the_fact(spark):
     sums = mart.agg(F.sum("paid_amount"), F.sum("billed_amount")).first()
     assert tuple(sums) == tuple(fact.agg(F.sum("line_allowed"), F.sum("line_charge")).first())
     assert dict(mart.dtypes)["paid_amount"] == "decimal(28,2)"
+
+
+CLAIMS = """select if(id % 7 = 0, null, cast(id % 50 as string)) claim_id, if(id % 11 = 0, null, cast(id % 9 as string)) member_id,
+    cast(id % 4 as string) service_line_number, if(id % 5 = 0, null, date_add(date '2024-01-01', cast(id % 90 as int))) admission_date,
+    cast(id % 3 as string) plan_id, if(id % 3 = 0, '', cast(id % 20 as string)) procedure_code, 'rx' claim_type, cast(id as decimal(18,2)) line_charge
+    from range(300)"""
+
+
+@pytest.mark.parametrize("line_id", [False, True])
+def test_keys_hashed_late_are_those_of_the_fact(spark, line_id):
+    """Also where ids are null or empty, and where the line's id is the grain."""
+    claims = spark.sql(CLAIMS)
+    ruled = facts.apply_rules(claims.selectExpr("*", "concat('l', uuid()) claim_line_id").localCheckpoint() if line_id else claims)
+    fact, by_text = facts.fact_claims(ruled), facts.fact_claims(ruled, hashed=False)
+    assert facts.FACT_KEY not in by_text.columns
+    late = facts.hash_keys(by_text).select(*fact.columns)
+    assert sorted(map(str, late.collect())) == sorted(map(str, fact.collect()))
+    dims = {
+        "member_key": D.build_dim(spark.sql("select cast(id as string) member_id, id member_age from range(8) union all select null, -1"), D.MEMBERS),
+        "plan_key": D.build_dim(spark.sql("select id plan_id, concat('plan ', id) plan_name from range(2)"), D.PLANS),
+    }
+    wide = facts.wide_claims(by_text, dims)
+    assert wide.columns == facts.wide_claims(fact, dims).columns
+    assert sorted(map(str, wide.collect())) == sorted(map(str, facts.wide_claims(fact, dims).collect()))
+    assert wide.filter("member_age = -1").count() == claims.filter("member_id is null").count() > 0
+
+
+def test_rows_of_the_wide_table_move_without_hashes(spark):
+    """No hash is computed below a shuffle, and the first join is that to the members, not one to a few plans."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_text = facts.fact_claims(facts.apply_rules(spark.sql(CLAIMS)), hashed=False)
+        dims = {s.key: D.build_dim(spark.sql(f"select cast(id as string) {s.id} from range(9)"), s) for s in (D.PLANS, D.PROCEDURE_CODES, D.MEMBERS)}
+        text = plan_of(facts.wide_claims(by_text, dims))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = text.index("Exchange hashpartitioning")
+    assert "sha2" in text[:moved] and "sha2" not in text[moved:]
+    joins_down = [line.split("[")[1].split("#")[0] for line in text.split("\n") if "SortMergeJoin [" in line]
+    assert joins_down == ["plan_key", "procedure_code_key", "member_key"]
