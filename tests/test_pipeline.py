@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimlake.config import BRONZE, GOLD, SILVER, LookupSpec, Namespace, PipelineConfig, RunContext
-from claimlake.operators.joins import SALT, Clustering, JoinLimits, cluster_together, star_join
+from claimlake.operators.joins import SALT, Clustering, JoinLimits, cluster_together, for_buckets, star_join
 from claimlake.operators.standardize import may_be_rejected
 from claimlake.plans import audit, bronze, gold, silver
 from claimlake.plans.pipeline import run_pipeline
@@ -626,6 +626,30 @@ def test_clustered_join_moves_no_fact(spark, store):
     assert store._buckets(store.config.table(GOLD, "fact")) is None and store.read(GOLD, "fact").count() == 1000
 
 
+def test_a_bucket_is_sorted_by_several_tasks(spark, store):
+    """Buckets with more rows than a task may sort have several files; the join still moves no fact, and sorts none."""
+    fact = spark.sql("select cast(id % 200 as string) member_key, id from range(1000)")
+    dim = spark.sql("select cast(id as string) member_key, id as attribute from range(150)")
+    cluster = Clustering("member_key", 2, rows_per_task=200)
+    assert cluster.tasks(1000) == 3 and cluster.tasks(400) == 1 and cluster.tasks(0) == 1
+    salted, wide = cluster_together(fact, dim, cluster, 1000)
+    buckets = Buckets(("member_key", SALT), 2)
+    store.overwrite(salted, GOLD, "fact", replace(buckets, tasks=3))
+    store.overwrite(wide, GOLD, "dim", buckets)
+    files = store.read(GOLD, "fact").inputFiles()
+    assert len(files) == 6 and store._buckets(store.config.table(GOLD, "fact")) == buckets
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star_join(store.read(GOLD, "fact"), [("member_key", for_buckets(store.read(GOLD, "dim"), cluster, 1000))], clustered="member_key")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in text and "Exchange" not in text and "Sort " not in text
+        got = joined.select("id", "attribute").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((r.id, r.attribute) for r in got if r.attribute is not None) == [(k, k % 200) for k in range(1000) if k % 200 < 150]
+    assert len(got) == 1000
+
+
 def test_dates_outside_the_calendar_are_an_issue(spark, files, tmp_path):
     claims = raw_claims(spark, SF_DIR).withColumn(
         "admission_date", F.when(F.col("service_line_number") == "7", F.lit("9999-12-31")).otherwise(F.col("admission_date")))
