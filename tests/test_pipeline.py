@@ -650,6 +650,23 @@ def test_a_bucket_is_sorted_by_several_tasks(spark, store):
     assert len(got) == 1000
 
 
+def test_replaced_partitions_are_known(spark, store):
+    """What has been replaced is known from the write, also for a new table, and a first write that breaks off leaves no rows."""
+    first = spark.sql("select id, concat('m', id % 4) m from range(40)")
+
+    def lost(written):
+        assert written.count() == 40
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        store.replace_partitions(first, GOLD, "t", ["m"], before_switch=lost)
+    assert not store.exists(GOLD, "t")
+    assert store.replace_partitions(first, GOLD, "t", ["m"]) == 40
+    assert sorted(store.replaced[GOLD, "t"]) == ["m=m0", "m=m1", "m=m2", "m=m3"]
+    assert store.replace_partitions(first.filter("m = 'm2'"), GOLD, "t", ["m"]) == 10
+    assert store.replaced[GOLD, "t"] == ["m=m2"] and store.read(GOLD, "t").count() == 40
+
+
 def test_dates_outside_the_calendar_are_an_issue(spark, files, tmp_path):
     claims = raw_claims(spark, SF_DIR).withColumn(
         "admission_date", F.when(F.col("service_line_number") == "7", F.lit("9999-12-31")).otherwise(F.col("admission_date")))
