@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.config import GOLD
-from claimlake.functions.columns import year_month
 from claimlake.operators import facts
 from claimlake.sources.store import TableStore
 
@@ -35,13 +34,17 @@ def month_of(column: Column) -> Column:
 def add_batch(store: TableStore, fact: DataFrame, batch: str) -> int:
     """Add or replace the facts of a batch; the number of mart rows written. The months are the driver's, a few per batch."""
     due = _months(store.read(GOLD, DUE_TABLE)) if store.exists(GOLD, DUE_TABLE) else set()
-    due |= _months(fact.select(month_of(year_month("admission_date")).alias(MONTH)))
     known = store.exists(GOLD, TOTALS_TABLE)
     if known:
         due |= _months(store.read(GOLD, TOTALS_TABLE).filter(F.col(BATCH) == batch))
-    _note_due(store, due)
+
+    def note(written: DataFrame) -> None:
+        """The batch's months, taken from its totals, so that its facts are computed once."""
+        due.update(_months(written))
+        _note_due(store, due)
+
     totals = facts.claim_totals(fact).withColumns({MONTH: month_of(F.col("year_month")), BATCH: F.lit(batch)})
-    written = store.replace_partitions(totals, GOLD, TOTALS_TABLE, [BATCH], sort_by=[MONTH])
+    written = store.replace_partitions(totals, GOLD, TOTALS_TABLE, [BATCH], sort_by=[MONTH], before_switch=note)
     if known and not written:
         store.drop_partitions(GOLD, TOTALS_TABLE, [f"{BATCH}={batch}"])
     rows = _sum_months(store, due)

@@ -106,6 +106,31 @@ def test_a_run_that_breaks_off_is_completed(spark, store, monkeypatch, broken):
     check(store, less)
 
 
+def test_facts_of_a_batch_are_computed_once(spark, store, monkeypatch):
+    """Months are taken from tables that have been written, not from the batch."""
+    asked, months = [], running_mart._months
+    monkeypatch.setattr(running_mart, "_months", lambda rows: asked.append(rows) or months(rows))
+    for name in ("a", "a"):
+        running_mart.add_batch(store, lines(spark, ("p", "1", "2024-01-05", 10), ("p", "2", None, 1)), name)
+    assert len(asked) >= 4
+    for rows in asked:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" not in plan and "LocalRelation" not in plan
+
+
+def test_months_are_noted_before_the_batch_is_there(spark, store, monkeypatch):
+    """A driver is lost after the totals have been switched: the months that only the lost run knew are summed all the same."""
+    a = lines(spark, ("p", "1", "2024-01-05", 10))
+    b = lines(spark, ("p", "1", "2024-02-05", 4))
+    running_mart.add_batch(store, a, "a")
+    with monkeypatch.context() as m:
+        m.setattr(running_mart, "_sum_months", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            running_mart.add_batch(store, b, "b")
+    running_mart.add_batch(store, a, "a")
+    check(store, a, b)
+
+
 def test_pipeline_keeps_it_over_raw_batches(spark, tmp_path):
     write_input_files(spark, SF_DIR, tmp_path)
     tag = uuid.uuid4().hex[:8]
