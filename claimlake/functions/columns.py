@@ -65,6 +65,8 @@ def parse_date(c: str | Column) -> Column:
     Trying five formats one after the other costs an exception per miss in the JVM. The layouts
     exclude each other by shape, so each value is sent to the one that can match it:
 
+    * ``-`` in fifth place: ``yyyy-MM-dd``. It is asked first and alone, as a filter on a date works out the text anew
+      for each question;
     * ``/`` and a two-digit first part above 12: only ``dd/MM/yyyy`` can match;
     * any other ``/``: ``M/d/yyyy``, which accepts all that ``MM/dd/yyyy`` does; where it fails
       with a first part up to 12, ``dd/MM/yyyy`` fails too;
@@ -75,7 +77,8 @@ def parse_date(c: str | Column) -> Column:
     third = F.substring(c, 3, 1)
     day_first = (third == "/") & F.substring(c, 1, 2).between("13", "99")
     return (
-        F.when(day_first, F.try_to_date(c, "dd/MM/yyyy"))
+        F.when(F.substring(c, 5, 1) == "-", F.try_to_date(c, "yyyy-MM-dd"))
+        .when(day_first, F.try_to_date(c, "dd/MM/yyyy"))
         .when(F.contains(c, F.lit("/")), F.try_to_date(c, "M/d/yyyy"))
         .when(third == "-", F.try_to_date(c, "dd-MM-yyyy"))
         .when(F.contains(c, F.lit("-")), F.try_to_date(c, "yyyy-MM-dd"))

@@ -186,3 +186,18 @@ def test_rows_of_the_wide_table_move_without_hashes(spark):
     assert "sha2" in text[:moved] and "sha2" not in text[moved:]
     joins_down = [line.split("[")[1].split("#")[0] for line in text.split("\n") if "SortMergeJoin [" in line]
     assert joins_down == ["plan_key", "procedure_code_key", "member_key"]
+
+
+def test_lines_are_joined_to_orders_that_have_their_customers(spark):
+    """The lines move for parts and orders, not for customers."""
+    from workload.source import raw_claims
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = raw_claims(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.split("\n")
+    (at,) = [k for k, line in enumerate(lines) if "SortMergeJoin [o_custkey" in line]
+    assert "/lineitem.parquet" not in "\n".join(lines[at:])
+    assert "/lineitem.parquet" in "\n".join(lines[:at])

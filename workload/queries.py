@@ -304,7 +304,8 @@ def widened_types(spark, sf_dir):
 
 
 def wide_by_buckets(spark, sf_dir):
-    """The wide table where members are too many to be broadcast: they and the fact are stored in the same buckets."""
+    """The wide table where members are too many to be broadcast: they and the fact are stored in the same buckets, by
+    the ids' texts; keys are hashed after the joins."""
     store, cluster = scratch_store(spark), joins.Clustering("member_key", 16)
     by_key = dims(spark, sf_dir)
     members, rows = facts.dimension_by_text(by_key[cluster.key], cluster.key), table(spark, sf_dir, "lineitem").count()

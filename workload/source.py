@@ -52,11 +52,11 @@ _RAW_CLAIM = {
     "units": (
         "case when l_linenumber = 7 then '3.0' else cast(cast(l_quantity as int) as string) end", ()),
 }
+# Joins to lineitem, in their order: it moves while it is narrow, and orders come last, with most of the columns.
 _JOINS = {
-    "orders": ("l_orderkey", "o_orderkey"),
-    "customer": ("o_custkey", "c_custkey"),
-    "part": ("l_partkey", "p_partkey"),
     "supplier": ("l_suppkey", "s_suppkey"),
+    "part": ("l_partkey", "p_partkey"),
+    "orders": ("l_orderkey", "o_orderkey"),
 }
 
 
@@ -72,13 +72,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_claims(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """All claim lines as raw text. Joins only the tables the wanted columns come from."""
+    """All claim lines as raw text. Joins only the tables the wanted columns come from; customers are joined to
+    orders, which are a quarter of the lines."""
     columns = list(_RAW_CLAIM) if columns is None else list(columns)
     needed = {t for c in columns for t in _RAW_CLAIM[c][1]}
     joined = table(spark, sf_dir, "lineitem")
     for name, (left, right) in _JOINS.items():
         if name in needed:
-            joined = joined.join(table(spark, sf_dir, name), F.col(left) == F.col(right))
+            other = table(spark, sf_dir, name)
+            if name == "orders" and "customer" in needed:
+                other = other.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+            joined = joined.join(other, F.col(left) == F.col(right))
     return joined.select(*(F.expr(_RAW_CLAIM[c][0]).alias(c) for c in columns))
 
 
