@@ -4,16 +4,18 @@ A document's text, A-Z in lower case, is cut at ``BREAKS`` into pieces and these
 counted per language. The suffixes of a piece are the words from each place on, five at most: the tree of all suffixes has
 a node per phrase of up to five words, and a node's count is the sum of the leaves below it.
 
-Three passes over the texts, each counting in a bounded table before anything is shuffled:
+Four passes over the texts, each counting in a bounded table before anything is shuffled:
 
 1. words and their counts. A word goes on as a number, 63 bits of a hash of language and word.
-2. pairs of neighbours that both occur ``min_count`` times.
-3. suffixes, cut at the first pair that occurs less often: no candidate contains such a pair, so no node that counts is
-   lost, and few leaves remain. Equal leaves are added up.
+2. pairs of neighbours that both occur ``min_count`` times; these counts are the nodes of two words.
+3. triples of two such pairs, not one by one but by buckets of their hashes (Park, Chen and Yu): a bucket counts at least what
+   any triple in it does, so triples of a bucket below ``min_count`` are rare. There is a bucket for each ``LOAD`` pairs counted.
+4. suffixes of three words at least, cut at the first triple in such a bucket: no candidate contains such a triple, so no
+   node that counts is lost, and few leaves remain. Equal leaves are added up.
 
-Which words and pairs are frequent is asked of a bit table of fixed size (``WORD_BITS`` and ``PAIR_BITS`` numbers), the only
-thing that is broadcast. A rare phrase that passes by a collision costs a leaf and changes nothing, as all counts are taken
-from the leaves, whole number by whole number.
+Which words and pairs are frequent, and triples may be, is asked of bit tables of bounded size (``WORD_BITS``, ``PAIR_BITS`` and
+at most ``TRIPLE_BITS`` numbers), the only things that are broadcast. A rare phrase that passes by a collision costs a leaf and
+changes nothing, as all counts are taken from the pairs and leaves, whole number by whole number.
 
 Vertical partitioning: a prefix of one word whose leaves exceed the budget of ``LEAVES`` is split by two words, and so on; the
 prefixes are dealt to groups of about that many leaves. Each group is sorted and its subtree built in one
@@ -47,10 +49,13 @@ BREAK = b"\xff"
 FOLD = bytes.maketrans(string.ascii_uppercase.encode() + BREAKS, string.ascii_lowercase.encode() + BREAK * len(BREAKS))
 DEPTH = 5
 PLACES = [f"w{k}" for k in range(1, DEPTH + 1)]
-#: Numbers of the bit tables' places as powers of two: 8 MB for words, 16 MB for pairs.
-WORD_BITS, PAIR_BITS = 26, 27
-#: Distinct words, pairs or leaves a task counts, words it looks at together, leaves of a group, heavy prefixes at each depth, bytes cut at a time.
-COUNTED, TOGETHER, LEAVES, HEAVY, BYTES = 500_000, 1 << 20, 250_000, 50_000, 1 << 20
+#: Numbers of the bit tables' places as powers of two: 8 MB for words, 16 MB for pairs and at most for triples.
+WORD_BITS, PAIR_BITS, TRIPLE_BITS = 26, 27, 27
+#: Counted pairs for a bucket of triples, and buckets (a power of two) that are added up together.
+LOAD, BLOCK_BITS = 16, 16
+#: Distinct words, pairs or leaves a task counts, words it looks at together, leaves of a group, heavy prefixes at each depth, bytes cut at a time,
+#: rows passed on at a time.
+COUNTED, TOGETHER, LEAVES, HEAVY, BYTES, PASSED = 500_000, 1 << 19, 250_000, 50_000, 1 << 20, 1 << 16
 
 
 def tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -88,6 +93,15 @@ class Bits:
         place = number >> self.shift
         return bool(self.table[place >> 3] >> (place & 7) & 1)
 
+    @staticmethod
+    def blocks(parts: DataFrame, size: int) -> Bits:
+        """From ``part, bits``: the bits of each block of buckets that has any."""
+        table = np.zeros((1 << size) // 8, np.uint8)
+        length = 1 << BLOCK_BITS - 3
+        for part, bits in parts.toLocalIterator():
+            table[part * length : (part + 1) * length] = np.frombuffer(bits, np.uint8)
+        return Bits(table, size)
+
     @staticmethod
     def of(numbers: DataFrame, column: str, size: int) -> Bits:
         """Built by Spark in pieces of 4 KB; 2^size bits in all come to the driver, whatever the rows."""
@@ -159,9 +173,11 @@ def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[:, starts], np.add.reduceat(n[order], starts) if len(n) else n
 
 
-def _runs(texts: DataFrame, frequent, names: list[str], keys_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``names, n``: how often each key occurs, column by column of what ``keys_of`` gives for the numbers of many texts
-    in a row, with zeros for rare words and breaks, also between texts. A task holds some ``COUNTED`` keys before it passes them on."""
+def _runs(
+    texts: DataFrame, frequent, keys_of: Callable[[np.ndarray], np.ndarray], rows_of: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], schema: str
+) -> DataFrame:
+    """Rows that ``rows_of`` makes of keys, sorted, and how often each occurs, column by column of what ``keys_of`` gives for the numbers of
+    many texts in a row, with zeros for rare words and breaks, also between texts. A task holds some ``COUNTED`` keys before it passes them on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Numbers] = {}
@@ -179,13 +195,14 @@ def _runs(texts: DataFrame, frequent, names: list[str], keys_of: Callable[[np.nd
             keys, sums = added(np.concatenate([c[0] for c in counted], 1), np.concatenate([c[1] for c in counted]))
             counted[:] = [(keys, sums)]
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             merge()
-            keys, sums = counted.pop()
-            return pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(sums)], [*names, "n"])
+            rows = rows_of(*counted.pop())
+            for begin in range(0, rows.num_rows, PASSED):
+                yield rows.slice(begin, PASSED)
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for lang, text in ((a.as_py(), b.as_py()) for a, b in zip(batch.column("lang"), batch.column("text"), strict=True)):
                 if lang not in known:
                     if len(known) >= 64:
                         known.clear()
@@ -199,42 +216,114 @@ def _runs(texts: DataFrame, frequent, names: list[str], keys_of: Callable[[np.nd
                     count()
                     n = 0
                     if len(counted[0][1]) > COUNTED:
-                        yield flush()
+                        yield from flush()
         if held:
             count()
         if counted:
-            yield flush()
+            yield from flush()
+
+    return texts.mapInArrow(run, schema)
 
-    parts = texts.mapInArrow(run, ", ".join(f"{p} long" for p in [*names, "n"]))
+
+def _sums(texts: DataFrame, frequent, names: list[str], keys_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``names, n``: how often each key occurs."""
+
+    def rows(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(sums)], [*names, "n"])
+
+    parts = _runs(texts, frequent, keys_of, rows, ", ".join(f"{p} long" for p in [*names, "n"]))
     return parts.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def pair_counts(texts: DataFrame, frequent) -> DataFrame:
+    """``w1, w2, n`` of neighbours that are both frequent."""
+
     def pairs_of(ids: np.ndarray) -> np.ndarray:
         a = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        return pair_numbers(ids[a], ids[a + 1])[None, :]
+        return np.stack((ids[a], ids[a + 1]))
+
+    return _sums(texts, frequent, PLACES[:2], pairs_of)
+
+
+def pair_bits(counts: DataFrame) -> Bits:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(pair_numbers(batch.column("w1").to_numpy(), batch.column("w2").to_numpy()))], ["pair"])
+
+    return Bits.of(counts.select("w1", "w2").mapInArrow(run, "pair long"), "pair", PAIR_BITS)
+
+
+def triple_numbers(ids: np.ndarray, pairs: Bits) -> tuple[np.ndarray, np.ndarray]:
+    """Places where two frequent pairs follow one another, and their triples' numbers."""
+    a = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+    number = np.zeros(len(ids), np.int64)
+    number[a] = pair_numbers(ids[a], ids[a + 1])
+    goes_on = np.zeros(len(ids), bool)
+    goes_on[a] = pairs.has(number[a])
+    at = np.flatnonzero(goes_on[:-1] & goes_on[1:])
+    return at, pair_numbers(number[at], ids[at + 2])
+
+
+def triple_bits(texts: DataFrame, frequent, pairs, size: int, min_count: int) -> Bits:
+    """The buckets of 2^``size`` whose triples occur ``min_count`` times, all together.
+
+    A task passes on the buckets it has met block by block, as places in the block and counts of ``min_count`` at most.
+    """
 
-    return _runs(texts, frequent, ["pair"], pairs_of)
+    kind = np.min_scalar_type(min_count)
 
+    def buckets_of(ids: np.ndarray) -> np.ndarray:
+        return triple_numbers(ids, pairs.value)[1][None, :] >> 63 - size
 
-def leaves(texts: DataFrame, frequent, pairs) -> DataFrame:
-    """``w1`` to ``w5`` (0 beyond a suffix's end) and ``n``: the leaves of all subtrees, of two words at least."""
+    def rows(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        block, place = keys[0] >> BLOCK_BITS, (keys[0] & (1 << BLOCK_BITS) - 1).astype(np.uint16)
+        counts = np.minimum(sums, min_count).astype(kind)
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        spans = list(zip(starts, [*starts[1:], len(block)], strict=False))
+        packed = [pa.array([values[a:b].tobytes() for a, b in spans], pa.binary()) for values in (place, counts)]
+        return pa.RecordBatch.from_arrays([pa.array(block[starts].astype(np.int32)), *packed], ["part", "places", "counts"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(1 << BLOCK_BITS, np.int64)
+
+        def bits() -> pa.RecordBatch:
+            table = np.packbits(total >= min_count, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([table], pa.binary())], ["part", "bits"])
+
+        for batch in batches:
+            for part, places, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "places", "counts")), strict=True):
+                if part != now:
+                    if now is not None:
+                        yield bits()
+                    now = part
+                    total[:] = 0
+                total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, kind)
+        if now is not None:
+            yield bits()
+
+    met = _runs(texts, frequent, buckets_of, rows, "part int, places binary, counts binary")
+    sums = met.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, bits binary")
+    return Bits.blocks(stored(sums, "phrase-triples"), size)
+
+
+def leaves(texts: DataFrame, frequent, pairs, triples) -> DataFrame:
+    """``w1`` to ``w5`` (0 beyond a suffix's end) and ``n``: the leaves of all subtrees, of three words at least."""
 
     def suffixes(ids: np.ndarray) -> np.ndarray:
         ids = np.concatenate((ids, np.zeros(DEPTH, np.int64)))
-        a = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        at, numbers = triple_numbers(ids, pairs.value)
+        at = at[triples.value.has(numbers)]
         goes_on = np.zeros(len(ids), bool)
-        goes_on[a] = pairs.value.has(pair_numbers(ids[a], ids[a + 1]))
-        at = np.flatnonzero(goes_on)
+        goes_on[at] = True
         suffix = np.zeros((DEPTH, len(at)), np.int64)
-        suffix[0] = ids[at]
+        suffix[:3] = ids[at], ids[at + 1], ids[at + 2]
         more = np.ones(len(at), bool)
-        for k in range(1, DEPTH):
-            more &= goes_on[at + k - 1]
+        for k in range(3, DEPTH):
+            more &= goes_on[at + k - 2]
             suffix[k] = np.where(more, ids[at + k], 0)
         return suffix
 
-    return _runs(texts, frequent, PLACES, suffixes)
+    return _sums(texts, frequent, PLACES, suffixes)
 
 
 def grouped(rows: DataFrame, total: int) -> DataFrame:
@@ -266,7 +355,7 @@ def subtree(suffix: np.ndarray, n: np.ndarray, cut: np.ndarray, min_count: int)
         starts = np.flatnonzero(new)
         counts = np.add.reduceat(n, starts)
         stays = (suffix[depth - 1, starts] > 0) & ((counts >= min_count) | (depth < cut[starts]))
-        if depth > 1:
+        if depth > 2:
             words = suffix[:depth, starts[stays]].T
             offsets = np.arange(len(words) + 1, dtype=np.int32) * depth
             cells.append((pa.ListArray.from_arrays(offsets, np.ascontiguousarray(words).ravel()), counts[stays]))
@@ -274,7 +363,7 @@ def subtree(suffix: np.ndarray, n: np.ndarray, cut: np.ndarray, min_count: int)
 
 
 def nodes(dealt: DataFrame, min_count: int) -> DataFrame:
-    """``words, a`` of all phrases of two to five words that occur ``min_count`` times."""
+    """``words, a`` of all phrases of three to five words that occur ``min_count`` times."""
     order = ["bin", *PLACES]
     rows = dealt.repartition("bin").sortWithinPartitions(*order)
 
@@ -344,10 +433,16 @@ def collocations(
     words = counted.where("word is not null")
     totals = counted.where("word is null").select("lang", "n")
     frequent = spark.sparkContext.broadcast(Bits.of(words, "id", WORD_BITS))
-    pairs = spark.sparkContext.broadcast(Bits.of(pair_counts(texts, frequent).where(F.col("n") >= min_count), "pair", PAIR_BITS))
+    met = Observation()
+    often = pair_counts(texts, frequent).where(F.col("n") >= min_count).observe(met, F.sum("n").alias("pairs"))
+    often = stored(often, "phrase-pairs")
+    pairs = spark.sparkContext.broadcast(pair_bits(often))
+    size = min(max(((met.get.get("pairs") or 0) // LOAD).bit_length(), BLOCK_BITS), TRIPLE_BITS)
+    triples = spark.sparkContext.broadcast(triple_bits(texts, frequent, pairs, size, min_count))
     seen = Observation()
-    tree = stored(leaves(texts, frequent, pairs).observe(seen, F.count(F.lit(1)).alias("leaves")), "phrase-leaves")
-    candidates = stored(nodes(grouped(tree, seen.get.get("leaves") or 0), min_count), "phrase-nodes")
+    tree = stored(leaves(texts, frequent, pairs, triples).observe(seen, F.count(F.lit(1)).alias("leaves")), "phrase-leaves")
+    longer = nodes(grouped(tree, seen.get.get("leaves") or 0), min_count)
+    candidates = stored(longer.unionByName(often.select(F.array("w1", "w2").alias("words"), F.col("n").alias("a"))), "phrase-nodes")
     known = candidates.unionByName(words.select(F.array("id").alias("words"), F.col("n").alias("a")))
     scored = cuts(candidates, known, words, totals).join(contained(candidates, percent), "words", "left_anti")
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())

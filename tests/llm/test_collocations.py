@@ -68,6 +68,33 @@ def test_prefixes_are_split_by_budget(spark, monkeypatch):
     assert all(len(b) == 1 for b in bins.values()) and max(b for s in bins.values() for b in s) < -(-len(rows) // 10)
 
 
+@pytest.mark.parametrize(("bits", "block"), [(4, 4), (9, 4)])
+def test_triples_that_share_buckets(spark, monkeypatch, bits, block):
+    """Few buckets hold many triples each, and tasks pass on little at a time: nothing is lost."""
+    for name, value in {"TRIPLE_BITS": bits, "BLOCK_BITS": block, "LOAD": 1, "COUNTED": 40, "TOGETHER": 100}.items():
+        monkeypatch.setattr(c, name, value)
+    rows = texts(4)
+    got = collocations(spark.createDataFrame(rows, "text string, lang string").repartition(3), 2000, 20)
+    assert sorted(tuple(r) for r in got.collect()) == slow([(lang, t) for t, lang in rows], 2000, 20)
+
+
+def test_rare_triples_of_frequent_pairs_make_no_leaves(spark, monkeypatch):
+    """Of 12 words at random every pair is frequent and no triple, but for those of a phrase that is put in."""
+    made = {}
+
+    def counted(df, name):
+        made[name] = (out := stored(df, name)).count()
+        return out
+
+    stored = c.stored
+    monkeypatch.setattr(c, "stored", counted)
+    random = np.random.default_rng(6)
+    rows = [(" ".join([*random.choice(list("abcdefghijkl"), 200), "a b c d e"]), "en") for _ in range(120)]
+    got = collocations(spark.createDataFrame(rows, "text string, lang string").repartition(4), 2000, 100)
+    assert sorted(tuple(r) for r in got.collect()) == slow([(lang, t) for t, lang in rows], 2000, 100)
+    assert 0 < made["phrase-leaves"] <= 20
+
+
 def test_equal_keys_are_added():
     random = np.random.default_rng(5)
     keys, n = random.integers(0, 3, (2, 500)), random.integers(1, 9, 500)
