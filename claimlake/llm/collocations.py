@@ -8,13 +8,14 @@ Four passes over the texts, each counting in a bounded table before anything is
 
 1. words and their counts. A word goes on as a number, 63 bits of a hash of language and word.
 2. pairs of neighbours that both occur ``min_count`` times; these counts are the nodes of two words.
-3. triples of two such pairs, not one by one but by buckets of their hashes (Park, Chen and Yu): a bucket counts at least what
-   any triple in it does, so triples of a bucket below ``min_count`` are rare. There is a bucket for each ``LOAD`` pairs counted.
-4. suffixes of three words at least, cut at the first triple in such a bucket: no candidate contains such a triple, so no
-   node that counts is lost, and few leaves remain. Equal leaves are added up.
-
-Which words and pairs are frequent, and triples may be, is asked of bit tables of bounded size (``WORD_BITS``, ``PAIR_BITS`` and
-at most ``TRIPLE_BITS`` numbers), the only things that are broadcast. A rare phrase that passes by a collision costs a leaf and
+3. phrases of three to five words, of such pairs only, not one by one but by buckets of their hashes (Park, Chen and Yu): a bucket
+   counts at least what any phrase in it does, so phrases of a bucket below ``min_count`` are rare. There is a bucket for each
+   ``LOAD`` pairs counted.
+4. suffixes of three words at least, cut where a phrase from their first word on falls in such a bucket: no candidate begins with
+   one, so no node that counts is lost, and few leaves remain. Equal leaves are added up.
+
+Which words and pairs are frequent, and longer phrases may be, is asked of bit tables of bounded size (``WORD_BITS``, ``PAIR_BITS``
+and at most ``PHRASE_BITS`` numbers), the only things that are broadcast. A rare phrase that passes by a collision costs a leaf and
 changes nothing, as all counts are taken from the pairs and leaves, whole number by whole number.
 
 Vertical partitioning: a prefix of one word whose leaves exceed the budget of ``LEAVES`` is split by two words, and so on; the
@@ -49,9 +50,9 @@ BREAK = b"\xff"
 FOLD = bytes.maketrans(string.ascii_uppercase.encode() + BREAKS, string.ascii_lowercase.encode() + BREAK * len(BREAKS))
 DEPTH = 5
 PLACES = [f"w{k}" for k in range(1, DEPTH + 1)]
-#: Numbers of the bit tables' places as powers of two: 8 MB for words, 16 MB for pairs and at most for triples.
-WORD_BITS, PAIR_BITS, TRIPLE_BITS = 26, 27, 27
-#: Counted pairs for a bucket of triples, and buckets (a power of two) that are added up together.
+#: Numbers of the bit tables' places as powers of two: 8 MB for words, 16 MB for pairs and at most for longer phrases.
+WORD_BITS, PAIR_BITS, PHRASE_BITS = 26, 27, 27
+#: Counted pairs for a bucket of longer phrases, and buckets (a power of two) that are added up together.
 LOAD, BLOCK_BITS = 16, 16
 #: Distinct words, pairs or leaves a task counts, words it looks at together, leaves of a group, heavy prefixes at each depth, bytes cut at a time,
 #: rows passed on at a time.
@@ -253,19 +254,23 @@ def pair_bits(counts: DataFrame) -> Bits:
     return Bits.of(counts.select("w1", "w2").mapInArrow(run, "pair long"), "pair", PAIR_BITS)
 
 
-def triple_numbers(ids: np.ndarray, pairs: Bits) -> tuple[np.ndarray, np.ndarray]:
-    """Places where two frequent pairs follow one another, and their triples' numbers."""
+def phrase_numbers(ids: np.ndarray, pairs: Bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For three, four and five words: places where only frequent pairs follow one another, and the phrases' numbers."""
     a = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    number = np.zeros(len(ids), np.int64)
-    number[a] = pair_numbers(ids[a], ids[a + 1])
-    goes_on = np.zeros(len(ids), bool)
-    goes_on[a] = pairs.has(number[a])
-    at = np.flatnonzero(goes_on[:-1] & goes_on[1:])
-    return at, pair_numbers(number[at], ids[at + 2])
+    numbers = pair_numbers(ids[a], ids[a + 1])
+    frequent = pairs.has(numbers)
+    at, numbers = a[frequent], numbers[frequent]
+    goes_on = np.zeros(len(ids) + DEPTH, bool)
+    goes_on[at] = True
+    for size in range(3, DEPTH + 1):
+        more = goes_on[at + size - 2]
+        at, numbers = at[more], numbers[more]
+        numbers = pair_numbers(numbers, ids[at + size - 1])
+        yield at, numbers
 
 
-def triple_bits(texts: DataFrame, frequent, pairs, size: int, min_count: int) -> Bits:
-    """The buckets of 2^``size`` whose triples occur ``min_count`` times, all together.
+def phrase_bits(texts: DataFrame, frequent, pairs, size: int, min_count: int) -> Bits:
+    """The buckets of 2^``size`` whose phrases of three to five words occur ``min_count`` times, all together.
 
     A task passes on the buckets it has met block by block, as places in the block and counts of ``min_count`` at most.
     """
@@ -273,7 +278,7 @@ def triple_bits(texts: DataFrame, frequent, pairs, size: int, min_count: int) ->
     kind = np.min_scalar_type(min_count)
 
     def buckets_of(ids: np.ndarray) -> np.ndarray:
-        return triple_numbers(ids, pairs.value)[1][None, :] >> 63 - size
+        return np.concatenate([numbers for _, numbers in phrase_numbers(ids, pairs.value)])[None, :] >> 63 - size
 
     def rows(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
         block, place = keys[0] >> BLOCK_BITS, (keys[0] & (1 << BLOCK_BITS) - 1).astype(np.uint16)
@@ -303,24 +308,22 @@ def triple_bits(texts: DataFrame, frequent, pairs, size: int, min_count: int) ->
 
     met = _runs(texts, frequent, buckets_of, rows, "part int, places binary, counts binary")
     sums = met.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, bits binary")
-    return Bits.blocks(stored(sums, "phrase-triples"), size)
+    return Bits.blocks(stored(sums, "phrase-buckets"), size)
 
 
-def leaves(texts: DataFrame, frequent, pairs, triples) -> DataFrame:
+def leaves(texts: DataFrame, frequent, pairs, phrases) -> DataFrame:
     """``w1`` to ``w5`` (0 beyond a suffix's end) and ``n``: the leaves of all subtrees, of three words at least."""
 
     def suffixes(ids: np.ndarray) -> np.ndarray:
-        ids = np.concatenate((ids, np.zeros(DEPTH, np.int64)))
-        at, numbers = triple_numbers(ids, pairs.value)
-        at = at[triples.value.has(numbers)]
-        goes_on = np.zeros(len(ids), bool)
-        goes_on[at] = True
+        length = np.zeros(len(ids), np.int64)
+        for size, (at, numbers) in enumerate(phrase_numbers(ids, pairs.value), 3):
+            at = at[phrases.value.has(numbers)]
+            length[at if size == 3 else at[length[at] == size - 1]] = size
+        at = np.flatnonzero(length)
         suffix = np.zeros((DEPTH, len(at)), np.int64)
-        suffix[:3] = ids[at], ids[at + 1], ids[at + 2]
-        more = np.ones(len(at), bool)
-        for k in range(3, DEPTH):
-            more &= goes_on[at + k - 2]
-            suffix[k] = np.where(more, ids[at + k], 0)
+        for k in range(DEPTH):
+            more = length[at] > k
+            suffix[k, more] = ids[at[more] + k]
         return suffix
 
     return _sums(texts, frequent, PLACES, suffixes)
@@ -437,10 +440,10 @@ def collocations(
     often = pair_counts(texts, frequent).where(F.col("n") >= min_count).observe(met, F.sum("n").alias("pairs"))
     often = stored(often, "phrase-pairs")
     pairs = spark.sparkContext.broadcast(pair_bits(often))
-    size = min(max(((met.get.get("pairs") or 0) // LOAD).bit_length(), BLOCK_BITS), TRIPLE_BITS)
-    triples = spark.sparkContext.broadcast(triple_bits(texts, frequent, pairs, size, min_count))
+    size = min(max(((met.get.get("pairs") or 0) // LOAD).bit_length(), BLOCK_BITS), PHRASE_BITS)
+    phrases = spark.sparkContext.broadcast(phrase_bits(texts, frequent, pairs, size, min_count))
     seen = Observation()
-    tree = stored(leaves(texts, frequent, pairs, triples).observe(seen, F.count(F.lit(1)).alias("leaves")), "phrase-leaves")
+    tree = stored(leaves(texts, frequent, pairs, phrases).observe(seen, F.count(F.lit(1)).alias("leaves")), "phrase-leaves")
     longer = nodes(grouped(tree, seen.get.get("leaves") or 0), min_count)
     candidates = stored(longer.unionByName(often.select(F.array("w1", "w2").alias("words"), F.col("n").alias("a"))), "phrase-nodes")
     known = candidates.unionByName(words.select(F.array("id").alias("words"), F.col("n").alias("a")))

@@ -69,9 +69,9 @@ def test_prefixes_are_split_by_budget(spark, monkeypatch):
 
 
 @pytest.mark.parametrize(("bits", "block"), [(4, 4), (9, 4)])
-def test_triples_that_share_buckets(spark, monkeypatch, bits, block):
-    """Few buckets hold many triples each, and tasks pass on little at a time: nothing is lost."""
-    for name, value in {"TRIPLE_BITS": bits, "BLOCK_BITS": block, "LOAD": 1, "COUNTED": 40, "TOGETHER": 100}.items():
+def test_phrases_that_share_buckets(spark, monkeypatch, bits, block):
+    """Few buckets hold many phrases each, and tasks pass on little at a time: nothing is lost."""
+    for name, value in {"PHRASE_BITS": bits, "BLOCK_BITS": block, "LOAD": 1, "COUNTED": 40, "TOGETHER": 100}.items():
         monkeypatch.setattr(c, name, value)
     rows = texts(4)
     got = collocations(spark.createDataFrame(rows, "text string, lang string").repartition(3), 2000, 20)
