@@ -1,0 +1,85 @@
+"""Rows that are moved with their texts packed, and dimensions that move no fact."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from claimlake.functions.packing import Packing
+from claimlake.operators import dimensions as D
+from claimlake.operators import facts, joins
+from workload import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df) -> list[str]:
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("columns", [["a", "b", "n"], ["a"], ["n"], ["a", "b"]])
+def test_what_is_packed_comes_out(spark, columns):
+    odd = spark.createDataFrame(
+        [("1", "A|B%7C%25|%", 1), ("", None, 2), (None, None, None), ("%N", "a%7Cb%N|", 3), ("|", "", 4), ("", "", 5), ("\\|\n", "é٣", 6)],
+        "a string, b string, n int").select(*columns)
+    packing = Packing(odd)
+    packed = packing.pack(odd)
+    assert packed.columns == [*(c for c in columns if c == "n"), "__packed"]
+    assert rows(packing.unpack(packed).select(*columns)) == rows(odd)
+
+
+def test_a_row_without_a_match_has_nulls(spark, no_broadcasts):
+    """Two joins that shuffle, the fact's and the first dimension's texts packed: the same rows as unpacked."""
+    fact = spark.sql("select if(id % 7 = 0, null, concat('m', id % 9)) m, concat('p', id % 5) p, if(id % 3 = 0, null, concat('%N|', id)) text, id from range(60)")
+    dims = [
+        ("m", spark.sql("select concat('m', id) m, if(id = 2, null, concat('name|', id)) name, '' empty, id age from range(6)")),
+        ("p", spark.sql("select concat('p', id) p, concat(id, '%7C') label from range(3)")),
+    ]
+    packed, plain = joins.star_join(fact, dims, packed=("m", "p")), joins.star_join(fact, dims)
+    assert rows(packed.select(*plain.columns)) == rows(plain)
+    assert packed.filter("age is null and empty is not null").isEmpty() and packed.filter("empty is null").count() > 0
+    shuffled = [line for line in plan_of(packed).split("\n") if "array_join" in line]
+    assert len(shuffled) == 2, "the fact and the members, not the last dimension"
+
+
+def test_wide_rows_are_moved_packed(spark, no_broadcasts):
+    """What is shuffled for members and procedures has no other text of the claim as a column of its own."""
+    claims = spark.sql("""select cast(id % 50 as string) claim_id, cast(id % 9 as string) member_id, cast(id % 4 as string) service_line_number,
+        date '2024-01-01' admission_date, cast(id % 20 as string) procedure_code, '0450' revenue_code, 'rx' claim_type from range(300)""")
+    by_text = facts.fact_claims(facts.apply_rules(claims), hashed=False)
+    dims = {s.key: D.build_dim(spark.sql(f"select cast(id as string) {s.id} from range(9)"), s) for s in (D.MEMBERS, D.PROCEDURE_CODES)}
+    wide = facts.wide_claims(by_text, dims)
+    hashed = facts.wide_claims(facts.fact_claims(facts.apply_rules(claims)), dims)
+    assert rows(wide) == rows(hashed)
+    text = plan_of(wide)
+    assert "AS __fact#" in text and "AS __member_key#" in text
+    assert text.index("split(__fact#") < text.index("SortMergeJoin [procedure_code_key"), "unpacked after the last of them"
+
+
+def test_known_dimensions_move_no_fact(spark, no_broadcasts):
+    """Spark takes a dimension for larger than it may broadcast; its lookup's rows tell that it is not."""
+    text = plan_of(queries.bi_fact_claims_enriched(spark, SF_DIR))
+    assert len(re.findall(r"BroadcastHashJoin \[provider_key#\d+\]", text)) == 1
+    assert "SortMergeJoin [provider_key" not in text
+
+
+def test_lookups_of_many_rows_have_no_known_size(spark, monkeypatch):
+    known = queries.dim_sizes(spark, SF_DIR)
+    assert known.keys() == {spec.key for spec in D.DIMENSIONS}
+    for spec in D.DIMENSIONS:
+        dim = queries.dims(spark, SF_DIR)[spec.key]
+        assert known[spec.key].rows >= dim.count() > 0
+    monkeypatch.setattr(joins, "DEFAULT_LIMITS", joins.JoinLimits(broadcast_rows=100))
+    assert queries.dim_sizes(spark, SF_DIR).keys() == {"provider_key", "plan_key", "pharmacy_key"}
