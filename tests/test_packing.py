@@ -1,14 +1,18 @@
-"""Rows that are moved with their texts packed, and dimensions that move no fact."""
+"""Rows that are moved with their texts packed, dimensions that move no fact, and buckets that grow with it."""
 
 from __future__ import annotations
 
 import re
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
+from claimlake.config import GOLD, Namespace, PipelineConfig
 from claimlake.functions.packing import Packing
 from claimlake.operators import dimensions as D
 from claimlake.operators import facts, joins
+from claimlake.sources.store import Buckets, TableStore
 from workload import queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -68,9 +72,10 @@ def test_wide_rows_are_moved_packed(spark, no_broadcasts):
     assert text.index("split(__fact#") < text.index("SortMergeJoin [procedure_code_key"), "unpacked after the last of them"
 
 
-def test_known_dimensions_move_no_fact(spark, no_broadcasts):
+@pytest.mark.parametrize("name", ["bi_fact_claims_enriched", "wide_by_buckets"])
+def test_known_dimensions_move_no_fact(spark, no_broadcasts, name):
     """Spark takes a dimension for larger than it may broadcast; its lookup's rows tell that it is not."""
-    text = plan_of(queries.bi_fact_claims_enriched(spark, SF_DIR))
+    text = plan_of(queries.QUERIES[name](spark, SF_DIR))
     assert len(re.findall(r"BroadcastHashJoin \[provider_key#\d+\]", text)) == 1
     assert "SortMergeJoin [provider_key" not in text
 
@@ -83,3 +88,38 @@ def test_lookups_of_many_rows_have_no_known_size(spark, monkeypatch):
         assert known[spec.key].rows >= dim.count() > 0
     monkeypatch.setattr(joins, "DEFAULT_LIMITS", joins.JoinLimits(broadcast_rows=100))
     assert queries.dim_sizes(spark, SF_DIR).keys() == {"provider_key", "plan_key", "pharmacy_key"}
+
+
+def test_a_large_fact_has_more_buckets(spark, no_broadcasts):
+    """Each is written and read by one task, whose rows have a bound; the join moves no fact."""
+    tag = uuid.uuid4().hex[:8]
+    store = TableStore(spark, PipelineConfig("", "", *(Namespace(layer, tag) for layer in ("bronze", "silver", "gold"))))
+    store.create_namespaces()
+    fact = spark.sql("select cast(id % 200 as string) member_key, if(id % 3 = 0, null, concat('c|', id)) text, id from range(1000)")
+    dim = spark.sql("select cast(id as string) member_key, id as attribute from range(150)")
+    cluster = joins.Clustering("member_key", 2, rows_per_task=200)
+    grown = cluster.grown(1000)
+    assert (grown.buckets, grown.tasks(1000)) == (6, 1) and cluster.grown(300) == cluster
+    salted, wide = joins.cluster_together(fact, dim, grown, 1000)
+    buckets = Buckets(("member_key", joins.SALT), grown.buckets, packed=True)
+    store.overwrite(salted, GOLD, "fact", buckets)
+    store.overwrite(wide, GOLD, "dim", buckets)
+    stored = store.read(GOLD, "fact")
+    assert len(stored.inputFiles()) == 6 and store._buckets(store.config.table(GOLD, "fact")) == buckets
+    assert stored.dtypes == salted.dtypes and rows(stored) == rows(salted)
+    joined = joins.star_join(stored, [("member_key", joins.for_buckets(store.read(GOLD, "dim"), cluster, 1000))], clustered="member_key")
+    text = plan_of(joined)
+    assert "ShuffledHashJoin" in text and "Exchange" not in text and "6 out of 6" in text
+    assert sorted((r.id, r.attribute) for r in joined.collect() if r.attribute is not None) == [(k, k % 200) for k in range(1000) if k % 200 < 150]
+
+
+def test_hot_keys_are_counted_without_the_fact(spark):
+    """Where the keys can be had for less, the fact is not computed for them."""
+    fact = spark.range(1000).select(F.raise_error(F.lit("computed")).cast("string").alias("member_key"), "id")
+    keys = spark.sql("select if(id < 600, 'hot', cast(id as string)) member_key from range(1000)")
+    dim = spark.sql("select if(id = 0, 'hot', cast(id as string)) member_key from range(900)")
+    cluster = joins.Clustering("member_key", 10)
+    _, wide = joins.cluster_together(fact, dim, cluster, 1000, keys)
+    assert wide.groupBy("member_key").count().filter("count > 1").collect() == [("hot", 6)]
+    _, even = joins.cluster_together(fact, dim, cluster, 1000, keys.filter("member_key <> 'hot'"))
+    assert even.filter(f"{joins.SALT} <> 0").isEmpty() and even.count() == 900
